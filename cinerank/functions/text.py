@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Every character up to and including the blank counts as white space at the ends of a field.
 _EDGE_SPACE = r"^[\x00-\x20]+|[\x00-\x20]+$"
@@ -29,3 +29,9 @@ def to_double(c: Column) -> Column:
 
 def contains_ignore_case(haystack: Column, needle: Column) -> Column:
     return F.contains(F.lower(haystack), F.lower(needle))
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df.select`` with the guarantee that each expression is evaluated once per row, whatever later filters refer
+    to: the optimizer does not copy expressions out of a generator."""
+    return df.select(F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))

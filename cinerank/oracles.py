@@ -151,7 +151,7 @@ FROM recent n JOIN recent o ON o.uid = n.uid AND n.rank = 1 AND o.rank > 1
 LEFT JOIN recs s ON s.mid = n.mid AND s.rec_mid = o.mid""",
     "stream_recs_replay": _STREAM_RECS,
     "stream_recs_streaming": _STREAM_RECS,
-    "stream_recs_list_sizes": f"""WITH {_REALTIME}, {_CANDIDATES}, {_STREAM}
+    "user_rec_list_sizes": f"""WITH {_REALTIME}, {_CANDIDATES}, {_STREAM}
 SELECT u.uid, count(s.mid)::INT AS n_recs
 FROM (SELECT DISTINCT uid FROM ratings) u LEFT JOIN scored s ON s.uid = u.uid GROUP BY u.uid""",
     "rmse_exact": f"""WITH {_RATINGS}, {_AVERAGES}

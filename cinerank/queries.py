@@ -14,9 +14,10 @@ from cinerank.functions.measures import rmse
 from cinerank.operators.similarity import ItemSimilarity, dense_cosine_pairs
 from cinerank.operators.topk import pack_recs, unpack_recs
 from cinerank.plans import content, documents, latent, realtime, statistics
-from cinerank.session import work_dir
+from cinerank.session import stored, work_dir
 from cinerank.sources import delimited, fixtures, tables
 from cinerank.streaming import recommend, source
+from cinerank.streaming.recent import recent_per_user
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,15 +167,26 @@ def stream_recs_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(unpack_recs(recs, "uid"), "score", 6)
 
 
-def stream_recs_list_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every user has a stored list after the stream, be it empty."""
-    recs = recommend.current_recs(spark, _run_stream(spark, sf_dir))
-    return recs.select("uid", F.size("recs").alias("n_recs"))
+def user_rec_list_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user gets a list, be it empty."""
+    ratings = fixtures.ratings(spark, sf_dir)
+    recs = realtime.replay(ratings, _saved_content(spark, sf_dir))
+    lists = realtime.pack_user_recs(ratings.select("uid").distinct(), recs)
+    return lists.select("uid", F.size("recs").alias("n_recs"))
 
 
 def stream_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyed state of the stream, which must agree with the batch window over all ratings."""
-    recent = recommend.current_recent(spark, _run_stream(spark, sf_dir))
+    root = work_dir(spark, "recent")
+
+    def run(events: DataFrame) -> None:
+        (recent_per_user(events).writeStream.outputMode("update")
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+         .foreachBatch(lambda batch, n: tables.put_batch(batch, f"{root}/out/triggers", n))
+         .start().awaitTermination())
+
+    _arrivals(spark, sf_dir, root, run)
+    recent = recommend.current_recent(spark, f"{root}/out")
     flat = recent.select("uid", F.posexplode("recent").alias("pos", "r"))
     return flat.select("uid", (F.col("pos") + 1).alias("rank"), "r.mid", "r.score", "r.timestamp")
 
@@ -209,7 +221,7 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     genres_top_movies, genres_top_movies_packed, distinct_users, distinct_rated_movies, genre_document_frequencies,
     genre_tfidf, genre_tfidf_exact, content_movie_recs, content_movie_recs_exact, embedding_similarity, log_filter,
     rating_event_parse, log_copy_streaming, user_recent_ratings, unrated_candidates, recent_similarity,
-    stream_recs_replay, stream_recs_streaming, stream_recs_list_sizes, stream_recent_ratings, als_user_recs,
+    stream_recs_replay, user_rec_list_sizes, stream_recs_streaming, stream_recent_ratings, als_user_recs,
     als_movie_recs, als_grid_search, als_best_parameters, rmse_exact,
 )}
 
@@ -230,24 +242,29 @@ def _saved_content(spark: SparkSession, sf_dir: str) -> ItemSimilarity:
 
 
 def _run_stream(spark: SparkSession, sf_dir: str) -> str:
-    """Send all ratings through the stream in three arrivals, oldest first; returns its output folder.
-
-    The query stops and restarts from its checkpoint between arrivals.
-    """
+    """The whole stream over all ratings; returns its output folder."""
     root = work_dir(spark, "stream")
+    recommend.write_rated(realtime.rated_movies(fixtures.ratings(spark, sf_dir)), f"{root}/rated", buckets=8)
+    _content(spark, sf_dir).save(f"{root}/similarity")
+
+    def run(events: DataFrame) -> None:
+        recommend.start(events, f"{root}/similarity", f"{root}/rated", f"{root}/out", f"{root}/checkpoint",
+                        {"availableNow": True}, buckets=8).awaitTermination()
+
+    _arrivals(spark, sf_dir, root, run)
+    return f"{root}/out"
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, root: str, run: Callable[[DataFrame], None]) -> None:
+    """Write the log of all ratings below ``root`` in three arrivals, oldest first, and ``run`` a query on its rating
+    events after each one, so that it stops and restarts from its checkpoint in between."""
     # Stateful streams fix the number of state partitions at their first start.
     own = spark.newSession()
     own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    ratings = fixtures.ratings(own, sf_dir)
-    recommend.write_rated(realtime.rated_movies(ratings), f"{root}/rated", buckets=8)
-    content.content_similarity(fixtures.movies(own, sf_dir)).save(f"{root}/similarity")
+    ratings = stored(fixtures.ratings(own, sf_dir), "ratings")
     first, second = ratings.approxQuantile("timestamp", [0.5, 0.8], 0.01)
     stamp = F.col("timestamp")
-    arrivals = (stamp < first, (stamp >= first) & (stamp < second), stamp >= second)
-    for n, arrived in enumerate(arrivals):
+    for n, arrived in enumerate((stamp < first, (stamp >= first) & (stamp < second), stamp >= second)):
         fixtures.rating_log(ratings.where(arrived)).write.text(f"{root}/log/arrival-{n}")
         lines = source.read_lines(own, "text", f"{root}/log", recursiveFileLookup="true")
-        events = source.rating_events(source.rating_payloads(lines))
-        recommend.start(events, f"{root}/similarity", f"{root}/rated", f"{root}/out", f"{root}/checkpoint",
-                        {"availableNow": True}, buckets=8).awaitTermination()
-    return f"{root}/out"
+        run(source.rating_events(source.rating_payloads(lines)))
