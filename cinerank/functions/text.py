@@ -13,11 +13,6 @@ def trimmed(c: Column) -> Column:
     return F.regexp_replace(c, _EDGE_SPACE, "")
 
 
-def field(c: Column, separator: str, index: int) -> Column:
-    """Field ``index`` of a delimited line (separator is a regular expression); null past the end."""
-    return F.get(F.split(c, separator, -1), index)
-
-
 def to_int(c: Column) -> Column:
     """32-bit integer or null. Surrounding white space is not accepted."""
     return F.when(c.rlike(_INTEGER), c.try_cast("int"))
