@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Every character up to and including the blank counts as white space at the ends of a field.
 _EDGE_SPACE = r"^[\x00-\x20]+|[\x00-\x20]+$"
-_INTEGER = r"^[+-]?[0-9]+$"
+_INTEGER = r"^[+-]?[0-9]+\z"
 
 
 def trimmed(c: Column) -> Column:
