@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinerank import schemas
 from cinerank.functions.measures import rmse
-from cinerank.operators.similarity import ItemSimilarity, dense_cosine_pairs
+from cinerank.operators.similarity import ItemSimilarity
 from cinerank.operators.topk import pack_recs, unpack_recs
 from cinerank.plans import content, documents, latent, realtime, statistics
 from cinerank.session import stored, work_dir
@@ -117,8 +117,7 @@ def content_movie_recs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = dense_cosine_pairs(fixtures.embeddings(spark, sf_dir), 0.3)
-    return pairs.select(F.col("p1").alias("mid"), F.col("p2").alias("rec_mid"), "score")
+    return latent.similar_movies(fixtures.embeddings(spark, sf_dir), 0.3)
 
 
 def log_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
