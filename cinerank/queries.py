@@ -143,14 +143,14 @@ def user_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unrated_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = fixtures.ratings(spark, sf_dir)
-    triggers = realtime.user_recent_ratings(ratings, 1)
-    return realtime.unrated_candidates(
-        triggers, _saved_content(spark, sf_dir), realtime.rated_movies(ratings)).drop("pid")
+    triggers = stored(realtime.user_recent_ratings(ratings, 1), "triggers")
+    rated = stored(realtime.rated_movies(ratings), "rated")
+    return realtime.unrated_candidates(triggers, _saved_content(spark, sf_dir), rated).drop("pid")
 
 
 def recent_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity of each user's newest rated movie with the others rated lately, 0.0 where there is none."""
-    recent = realtime.user_recent_ratings(fixtures.ratings(spark, sf_dir))
+    recent = stored(realtime.user_recent_ratings(fixtures.ratings(spark, sf_dir)), "recent")
     newest = recent.where(F.col("rank") == 1).select("uid", "mid")
     others = recent.where(F.col("rank") > 1).select("uid", "rank", F.col("mid").alias("other"))
     return realtime.similarity_scores(newest.join(others, "uid"), _saved_content(spark, sf_dir))
