@@ -109,11 +109,11 @@ def genre_tfidf_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def content_movie_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content.movie_recs(_content(spark, sf_dir))
+    return _content(spark, sf_dir).recs()
 
 
 def content_movie_recs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content.movie_recs(_content(spark, sf_dir, hashed=False))
+    return _content(spark, sf_dir, hashed=False).recs()
 
 
 def embedding_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
