@@ -133,7 +133,8 @@ def log_copy_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "copy")
     fixtures.log_lines(spark, sf_dir).write.text(f"{root}/log")
     lines = source.read_lines(spark, "text", f"{root}/log")
-    source.copy_ratings(lines, f"{root}/checkpoint", "parquet", path=f"{root}/events").awaitTermination()
+    source.copy_ratings(lines, f"{root}/checkpoint", "parquet", {"availableNow": True},
+                        path=f"{root}/events").awaitTermination()
     return spark.read.schema("value string").parquet(f"{root}/events")
 
 
