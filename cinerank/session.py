@@ -13,8 +13,6 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Cells of the dense similarity join hold whole blocks of vectors per row.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
 
