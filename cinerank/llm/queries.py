@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cinerank.llm.exact_duplicates import exact_duplicates
+from cinerank.llm.mixing import mix
 from cinerank.llm.near_duplicates import near_duplicates
+from cinerank.llm.sharding import shard
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -21,7 +24,78 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near-equal bytes."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    sized = docs.select("doc_id", (F.octet_length("text") + 1).cast("long").alias("size"),
+                        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+                        F.xxhash64("text").alias("k1"), F.xxhash64("doc_id", "text", F.lit(1)).alias("k2"))
+    return shard(sized, size=F.col("size"), order=(F.col("k1"), F.col("k2"))).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document when sources weigh 5, 2, 1 and share 150 % of all words."""
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+LLM_ORACLES["op2_mixing"] = r"""
+WITH docs AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)::BIGINT AS size FROM documents
+), weighed AS (
+    SELECT source, source_size, source_size * 2 AS lim,
+           [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+    FROM (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source)
+), levels AS (
+    SELECT *, (sum(source_size) OVER ()) * 1.5::DOUBLE AS goal,
+           sum(lim) OVER by_limit - lim AS limited,
+           sum(weight) OVER () - sum(weight) OVER by_limit + weight AS open_weight
+    FROM weighed WINDOW by_limit AS (ORDER BY source_size / weight, source NULLS LAST)
+), common AS (
+    SELECT arg_min((goal - limited) / open_weight, limited) AS level FROM levels
+    WHERE (goal - limited) / open_weight * weight < lim
+), rates AS (
+    SELECT source, source_size,
+           CASE WHEN level * weight < lim THEN level * weight ELSE lim::DOUBLE END AS target,
+           (('0x' || substr(md5('0|' || CASE WHEN source IS NULL THEN '-' ELSE '+' END || '|' || coalesce(source, '')), 1, 8))
+            ::BIGINT % 1000000000 * 1000)::HUGEINT AS first
+    FROM levels, common
+), placed AS (
+    SELECT doc_id, size, source_size, target, first,
+           coalesce(floor(target / nullif(source_size, 0) * 1e12), 0)::HUGEINT AS rate,
+           row_number() OVER (PARTITION BY source ORDER BY size, coalesce(((doc_id % 1024) + 1024) % 1024, 1024), doc_id) AS n
+    FROM docs JOIN rates USING (source)
+)
+SELECT doc_id, size, source_size, target,
+       (((n * rate + first) // 1000000000000 - ((n - 1) * rate + first) // 1000000000000) * size)::BIGINT AS taken
+FROM placed
+"""
+
+
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of all documents by 4-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts, up to white space."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLES["op8_exact_duplicates"] = r"""
+WITH texts AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
+), grouped AS (
+    SELECT doc_id, text, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           row_number() OVER (PARTITION BY text, doc_id) AS again
+    FROM texts WINDOW same AS (PARTITION BY text)
+)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND again = 1 AS kept, sha256(text) AS text_sha256
+FROM grouped
+"""
