@@ -45,7 +45,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_ORACLES["op2_mixing"] = r"""
 WITH docs AS (
-    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)::BIGINT AS size FROM documents
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
 ), weighed AS (
     SELECT source, source_size, source_size * 2 AS lim,
            [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
