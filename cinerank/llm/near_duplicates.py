@@ -2,9 +2,10 @@
 
 Documents are sets of word shingles. Equal sets collapse into one representative first, so a group of copies, however
 large, enters the search once. Every band of a representative's signature is a key. Of a key's members each is
-compared with the smallest one; only keys whose members are then still in different components go on, and there
-only members of different components are compared, in blocks. A group of near copies thus costs a star, not its pairs,
-and no link that can join two components is left out.
+compared with the smallest one; only keys whose members are then still in different components go on. There members of
+different components meet in blocks: first the pairs that look most similar, as many as could join the components of
+their blocks, and, where components are still apart after that, all the rest. A group of near copies thus costs a few
+stars and trees, not its pairs, and no link that can join two components is left out.
 
 A comparison reads the signatures in batches. With m of n values equal and a uniform prior, the similarity is
 Beta(m + 1, n - m + 1); a pair is dropped once the chance that it reaches the threshold is below ``miss``. What
@@ -23,14 +24,15 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cinerank.llm.batches import Words, chunks, mix, shingles
 from cinerank.llm.components import connected_components
 from cinerank.session import stored
 
 ROWS_PER_BAND, BANDS, BATCH = 6, 40, 24
-BLOCK = 256
+BLOCK = 512
+BROADCAST_IDS = 1_000_000
 SEED = 77
 _SLICE = 1 << 15
 
@@ -118,7 +120,7 @@ def sets(docs: DataFrame, width: int, with_hashes: bool = False, count: int = RO
 
 
 def _band_keys(reps: DataFrame) -> DataFrame:
-    """``(key, id)`` for every band of every representative."""
+    """``(key, band, id)`` for every band of every representative."""
     count = ROWS_PER_BAND * BANDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,9 +132,11 @@ def _band_keys(reps: DataFrame) -> DataFrame:
                 for k in range(ROWS_PER_BAND):
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, k])
                 ids = part.column("id").take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))
-                yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), ids], ["key", "id"])
+                band = np.tile(np.arange(BANDS, dtype=np.int8), part.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(band), ids],
+                                                 ["key", "band", "id"])
 
-    return reps.select("id", "sig").mapInArrow(run, f"key long, id {reps.schema['id'].dataType.simpleString()}")
+    return reps.select("id", "sig").mapInArrow(run, f"key long, band byte, id {reps.schema['id'].dataType.simpleString()}")
 
 
 def _survivors(pairs: DataFrame, reps: DataFrame, needed: list[int]) -> DataFrame:
@@ -151,8 +155,49 @@ def _survivors(pairs: DataFrame, reps: DataFrame, needed: list[int]) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _block_survivors(members: DataFrame, reps: DataFrame, needed: list[int]) -> DataFrame:
-    """Plausible pairs of members ``(key, id, component)`` of one key but different components.
+def _forest(left: np.ndarray, right: np.ndarray, order: np.ndarray) -> list[int]:
+    """Pairs, taken in ``order``, that join what earlier ones have not joined yet."""
+    parent: dict = {}
+
+    def root(x):
+        while (up := parent.get(x, x)) != x:
+            x = up
+        return x
+
+    out = []
+    for k in order.tolist():
+        a, b = root(left[k]), root(right[k])
+        if a != b:
+            parent[b] = a
+            out.append(k)
+    return out
+
+
+def _block_pairs(sl: np.ndarray, sr: np.ndarray, cl: np.ndarray, cr: np.ndarray, same: bool, band: int,
+                 needed: list[int], forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of plausible pairs of two blocks, of different components, whose first common band is ``band``.
+
+    With ``forest`` only as many as can join their components, those that look most similar first."""
+    lefts, rights, equals = [], [], []
+    for i in range(len(sl)):
+        other = np.flatnonzero(cr != cl[i])
+        if same:
+            other = other[other > i]
+        other = other[plausible(np.broadcast_to(sl[i], (len(other), sl.shape[1])), sr[other], needed, BATCH)]
+        equal = sr[other] == sl[i]
+        here = equal.reshape(len(other), BANDS, ROWS_PER_BAND).all(axis=2).argmax(axis=1) == band
+        lefts.append(np.full(here.sum(), i))
+        rights.append(other[here])
+        equals.append(equal[here].sum(axis=1))
+    left, right = np.concatenate(lefts), np.concatenate(rights)
+    if forest:
+        stay = _forest(cl[left], cr[right], np.argsort(-np.concatenate(equals), kind="stable"))
+        left, right = left[stay], right[stay]
+    return left, right
+
+
+def _block_survivors(members: DataFrame, reps: DataFrame, needed: list[int], forest: bool) -> DataFrame:
+    """Plausible pairs of members ``(key, band, id, component)`` of one key but different components, each pair once.
 
     Members are packed into blocks of bounded size, and blocks meet blocks, so no task holds a whole key."""
     count = ROWS_PER_BAND * BANDS
@@ -160,31 +205,31 @@ def _block_survivors(members: DataFrame, reps: DataFrame, needed: list[int]) ->
     size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     packed = (members.join(size, "key").join(reps.select("id", "sig"), "id")
               .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-              .groupBy("key", "blocks", "block").agg(F.collect_list(F.struct("id", "component", "sig")).alias("own")))
+              .groupBy("key", "band", "block").agg(F.collect_list(F.struct("id", "component", "sig")).alias("own")))
     packed = stored(packed, "blocks")
-    met = (packed.select("key", F.col("block").alias("x"), F.col("own").alias("left"))
+    met = (packed.select("key", "band", F.col("block").alias("x"), F.col("own").alias("left"))
            .join(packed.select("key", F.col("block").alias("y"), F.col("own").alias("right")), "key").where("x <= y")
-           .select("left", "right"))
+           .select("band", (F.col("x") == F.col("y")).alias("same"), "left", "right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 left, right = (batch.column(c)[k].values for c in ("left", "right"))
                 sl, sr = (_matrix(side.field("sig"), count) for side in (left, right))
-                il, ir = (np.array(side.field("id").to_pylist()) for side in (left, right))
-                cl, cr = (np.array(side.field("component").to_pylist()) for side in (left, right))
-                for i in range(len(il)):
-                    other = np.flatnonzero((cr != cl[i]) & (ir != il[i]))
-                    stay = other[plausible(np.broadcast_to(sl[i], (len(other), count)), sr[other], needed, BATCH)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(ir[stay], il[i])), pa.array(np.maximum(ir[stay], il[i]))], ["a", "b"])
+                il, ir, cl, cr = (np.array(side.field(c).to_pylist()) for c in ("id", "component") for side in (left, right))
+                i, j = _block_pairs(sl, sr, cl, cr, batch.column("same")[k].as_py(), batch.column("band")[k].as_py(),
+                                    needed, forest)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(il[i], ir[j])), pa.array(np.maximum(il[i], ir[j]))], ["a", "b"])
 
-    return met.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return met.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs whose full shingle sets reach the threshold, as links."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+    if ids.count() <= BROADCAST_IDS:  # beyond that the texts meet the ids in a shuffle
+        ids = F.broadcast(ids)
     full = stored(sets(docs.join(ids, "id", "left_semi").dropDuplicates(["id"]), width, with_hashes=True), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,20 +267,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     needed = needed_matches(percent / 100, miss, ROWS_PER_BAND * BANDS, BATCH)
     texts = docs.where("id is not null")
 
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return stored(_confirmed(pairs, texts, width, percent), "links")
+
     keys = stored(_band_keys(reps), "bands")
     leads = keys.groupBy("key").agg(F.min("id").alias("lead"), F.count("*").alias("members")).where("members > 1")
-    shared = stored(keys.join(leads, "key").select("key", "id", "lead"), "shared-bands")
+    shared = stored(keys.join(leads, "key").select("key", "band", "id", "lead"), "shared-bands")
     star = shared.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(_confirmed(stored(_survivors(star, reps, needed), "pairs"), texts, width, percent), "links")
-
-    groups = stored(connected_components(links), "components")
-    named = (shared.select("key", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
-             .select("key", "id", F.coalesce("component", "id").alias("component")))
-    open_keys = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                 .where("low != high").select("key"))
-    more = _block_survivors(named.join(open_keys, "key", "left_semi"), reps, needed).join(star, ["a", "b"], "left_anti")
-    more = stored(_confirmed(stored(more, "pairs"), texts, width, percent), "links")
-    groups = connected_components(links.union(more))
+    tested = stored(_survivors(star, reps, needed), "pairs")
+    links = confirmed(tested)
+
+    for forest in (True, False):
+        groups = stored(connected_components(links), "components")
+        named = (shared.join(groups.withColumnRenamed("node", "id"), "id", "left")
+                 .select("key", "band", "id", F.coalesce("component", "id").alias("component")))
+        open_keys = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                     .where("low != high").select("key"))
+        pairs = _block_survivors(named.join(open_keys, "key", "left_semi"), reps, needed, forest)
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        links, tested = links.union(confirmed(pairs)), tested.union(pairs)
+    groups = connected_components(links)
 
     of_set = (reps.join(groups.withColumnRenamed("node", "id"), "id", "left")
               .select("h1", "h2", "n", F.coalesce("component", "id").alias("component")))
