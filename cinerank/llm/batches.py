@@ -94,3 +94,27 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     for k in range(1, width):
         out = mix(out * _JOIN + words[k:len(words) - width + 1 + k])
     return out
+
+
+class Characters:
+    """The code points of a batch of texts, A-Z in lower case and white space as space, with the rows' ranges."""
+
+    def __init__(self, texts: pa.Array):
+        raw, offsets = text_bytes(texts)
+        raw = raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)
+        raw[(raw >= 9) & (raw <= 13)] = 32
+        self.points = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        starts = np.zeros(len(raw) + 1, np.int64)
+        np.cumsum((raw & 0xC0) != 0x80, out=starts[1:])
+        self.rows = starts[offsets]
+
+    def ngrams(self, widths: range) -> Iterator[tuple[int, np.ndarray]]:
+        """For each width the hash of the n-gram that begins at every place of the batch; ``widths`` counts up by one."""
+        points = mix(self.points.astype(np.uint64) + np.uint64(0x51ED27))
+        total = np.zeros(len(points), np.uint64)
+        for k in range(widths[-1]):
+            if k >= len(points):
+                return
+            total = total[:len(points) - k] * _JOIN + points[k:]
+            if k + 1 in widths:
+                yield k + 1, mix(total)

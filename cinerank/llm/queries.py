@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cinerank.llm import quality, toxicity
 from cinerank.llm.exact_duplicates import exact_duplicates
+from cinerank.llm.labelled import remainder
 from cinerank.llm.mixing import mix
 from cinerank.llm.near_duplicates import near_duplicates
 from cinerank.llm.sharding import shard
@@ -99,3 +101,24 @@ WITH texts AS (
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND again = 1 AS kept, sha256(text) AS text_sha256
 FROM grouped
 """
+
+
+def _held_out(scored: DataFrame, divisor: int, at: int) -> DataFrame:
+    return scored.select("doc_id", F.coalesce(remainder(divisor) == at, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; labels of ids with remainder 1 modulo 3 are not learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
+    return _held_out(quality.score(docs, model), 3, 1)
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; labels of ids with remainder 0 modulo 5 are not learnt from."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
+    return _held_out(toxicity.score(docs, model), 5, 0)
