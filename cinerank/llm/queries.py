@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cinerank.llm import quality, toxicity
 from cinerank.llm.exact_duplicates import exact_duplicates
 from cinerank.llm.labelled import remainder
-from cinerank.llm.mixing import mix
+from cinerank.llm.mixing import mix, word_count
 from cinerank.llm.near_duplicates import near_duplicates
 from cinerank.llm.sharding import shard
 
@@ -42,7 +42,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document when sources weigh 5, 2, 1 and share 150 % of all words."""
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size"))
+    return mix(docs, size=F.col("size")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 LLM_ORACLES["op2_mixing"] = r"""
