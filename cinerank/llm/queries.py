@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from cinerank.llm import quality, toxicity
+from cinerank.llm.decontaminate import contaminations
 from cinerank.llm.exact_duplicates import exact_duplicates
 from cinerank.llm.labelled import remainder
 from cinerank.llm.mixing import mix, word_count
@@ -85,6 +87,12 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold."""
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, up to white space."""
@@ -123,3 +131,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
     return _held_out(toxicity.score(docs, model), 5, 0)
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
