@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from cinerank.llm import quality, toxicity
+from cinerank.llm import language, quality, token_counts, toxicity
 from cinerank.llm.decontaminate import contaminations
 from cinerank.llm.exact_duplicates import exact_duplicates
 from cinerank.llm.labelled import remainder
 from cinerank.llm.mixing import mix, word_count
 from cinerank.llm.near_duplicates import near_duplicates
 from cinerank.llm.sharding import shard
+from cinerank.llm.url_filter import judge
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -81,12 +82,59 @@ FROM placed
 """
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), *token_counts.load_vocabulary())
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all pages, with text models learnt from the documents' languages."""
+    model = language.fit(table(spark, sf_dir, "documents"))
+    return language.identify(table(spark, sf_dir, "pages"), model)
+
+
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of all documents by 4-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the URLs of all pages."""
+    return judge(table(spark, sf_dir, "pages"))
+
+
+LLM_ORACLES["op6_url_filter"] = r"""
+WITH rules(verdict, rule_host, rule_path) AS (
+    VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), parts AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*[^?#]*\?([^#]*)', 1) AS query, url, coalesce(html, '') AS html
+    FROM pages
+), kept AS (
+    SELECT *, list_filter(string_split(query, '&'),
+                          lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=.*)?$')) AS args FROM parts
+), rows AS (
+    SELECT page_id, host, path,
+           CASE WHEN host <> '' THEN host || regexp_replace(path, '/+$', '')
+                                     || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS node,
+           (SELECT arg_max({'verdict': verdict, 'rule': rule_host || rule_path}, length(rule_host || rule_path)) FROM rules
+            WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS fit
+    FROM kept
+), fate AS (  -- no page of the tables has a canonical link or a refresh, so nodes are the groups
+    SELECT node, CASE WHEN bool_or(fit.verdict = 'allow') THEN 'allow' ELSE 'block' END AS inherited
+    FROM rows WHERE node IS NOT NULL AND fit IS NOT NULL GROUP BY node
+)
+SELECT page_id, host, path, fit.rule AS rule, coalesce(fit.verdict, inherited, 'allow') AS verdict
+FROM rows LEFT JOIN fate USING (node)
+"""
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents hold."""
