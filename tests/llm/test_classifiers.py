@@ -1,0 +1,84 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cinerank.llm import quality, toxicity
+from cinerank.llm.labelled import remainder, sample_ids
+from cinerank.llm.queries import op9_quality, op10_toxicity
+from tests.llm.texts import documents, empty
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def labelled(spark):
+    rng = random.Random(2)
+    rows = []
+    for k in range(240):
+        own = [f"word{rng.randrange(60)}" for _ in range(30)]
+        if k % 4 == 0:
+            own[rng.randrange(30)] = rng.choice(["horrid", "vile"])
+            own = [w + "###" for w in own]
+        rows.append((k, " ".join(own), int(k % 4 == 0)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = [(r[0], 1 - r[2], r[2]) for r in rows] + [(None, 1, 1), (3, None, None), (5000, 1, 1), (7, 7, 7)]
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+@pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (quality, "quality")])
+def test_held_out_rows(spark, module, label):
+    docs, labels = labelled(spark)
+    model = module.fit(docs, labels, remainder(5) != 0)
+    held = module.score(docs, model).join(labels, "doc_id").where((remainder(5) == 0) & F.col(label).isin(0, 1))
+    right = held.where((F.col("score") >= 0.5) == (F.col(label) == 1)).count()
+    assert right >= 0.95 * held.count() > 20
+
+
+@pytest.mark.parametrize("module", [toxicity, quality])
+def test_awkward_rows(spark, module):
+    docs, labels = labelled(spark)
+    model = module.fit(docs, labels, F.lit(True))
+    odd = documents(spark)
+    out = module.score(odd, model).collect()
+    assert len(out) == odd.count() and all(0 <= r["score"] <= 1 for r in out)
+    empties = {r["score"] for r in out if r["doc_id"] in (200, 201, 202)}
+    assert len(empties) == 1
+    again = {(r["doc_id"], r["score"]) for r in module.score(odd.repartition(5), model).collect()}
+    assert {(i, round(s, 9)) for i, s in again} == {(r["doc_id"], round(r["score"], 9)) for r in out}
+    assert module.score(empty(spark), model).collect() == []
+    nothing = module.fit(empty(spark), labels, F.lit(True))
+    assert {r["score"] for r in module.score(odd, nothing).collect()} == {0.5}
+    assert {r["score"] for r in module.score(odd, module.fit(docs, labels.limit(0), F.lit(True))).collect()} == {0.5}
+
+
+def test_toxic_rows_go_and_columns_stay(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.fit(docs, labels, F.lit(True))
+    wide = docs.withColumns({"score": F.lit("clash"), "id": F.col("doc_id"), "label": F.lit(1)})
+    left = toxicity.without_toxic(wide, model)
+    assert left.columns == wide.columns
+    want = {r["doc_id"] for r in toxicity.score(docs, model).collect() if r["score"] < 0.5}
+    assert {r["doc_id"] for r in left.collect()} == want
+
+
+def test_sample_is_bounded_and_ties_are_settled(spark):
+    _, labels = labelled(spark)
+    twice = labels.union(labels.withColumn("toxic", F.lit(0)))
+    rows = sample_ids(twice, "toxic", 10, F.lit(True)).collect()
+    assert len(rows) == 20 and len({r["doc_id"] for r in rows}) == 20 and sum(r["label"] for r in rows) == 10
+
+
+def auc(scores, labels):
+    order = np.argsort(np.argsort(scores, kind="stable"), kind="stable")
+    ones = labels.sum()
+    return (order[labels == 1].sum() - ones * (ones - 1) / 2) / (ones * (len(labels) - ones))
+
+
+@pytest.mark.parametrize("query, label, least", [(op9_quality, "quality", 0.85), (op10_toxicity, "toxic", 0.85)])
+def test_queries_on_held_out_labels(spark, query, label, least):
+    out = query(spark, SF_DIR)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = out.where("held_out").join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id").toPandas()
+    assert auc(rows["score"].to_numpy(), rows[label].to_numpy()) > least
+    assert ((rows["score"] >= 0.5) == (rows["predicted"] == 1)).all()

@@ -1,0 +1,70 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from cinerank.llm import decontaminate as dc
+from tests.llm.texts import documents, empty, holds
+
+ITEMS = "item_id long, text string, similarity string"
+
+
+def planted(spark, seed=4):
+    rng = random.Random(seed)
+    vocabulary = [f"v{k}" for k in range(40)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=n))) for k, n in enumerate([40, 40, 12, 25, 60, 5, 4, 1, 7])]
+    items += [(20, None), (21, " "), (22, items[0][1]), (None, "null id item with seven words here")]
+    docs = []
+    for k, (_, text) in enumerate(items[:9]):
+        w = text.split()
+        for j, part in enumerate((w, w[1:], w[:-3], w[:len(w) // 2] + ["odd"] + w[len(w) // 2 + 1:], w + w, [x.upper() for x in w])):
+            before, after = (rng.choices(vocabulary + ["é", "zz"], k=rng.choice([0, 3, 50])) for _ in "ab")
+            docs.append((100 * k + j, "\n".join([*before, *part, *after])))
+    docs += [(9000, None), (9001, ""), (None, items[1][1]), (100, docs[6][1])]
+    return (spark.createDataFrame([(*d, "clash", 1) for d in docs], "doc_id long, text string, item string, id int"),
+            spark.createDataFrame([(*i, "clash") for i in items], ITEMS))
+
+
+def test_equal_to_all_windows(spark):
+    docs, items = planted(spark)
+    found = dc.contaminations(docs, items)
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    want = {(d["doc_id"], i["item_id"]) for d in docs.collect() for i in items.collect() if holds(d["text"], i["text"])}
+    assert got == want and len(got) > 40
+    left = dc.without_contaminated(docs, items)
+    assert left.columns == docs.columns
+    assert {r["doc_id"] for r in left.collect()} == {r["doc_id"] for r in docs.collect()} - {d for d, _ in want}
+
+
+def test_items_in_several_blocks(spark, monkeypatch):
+    docs, items = planted(spark)
+    whole = {tuple(r) for r in dc.contaminations(docs, items).collect()}
+    monkeypatch.setattr(dc, "ITEM_BYTES", 200)
+    assert {tuple(r) for r in dc.contaminations(docs, items).collect()} == whole
+
+
+def test_everything_within_the_radius_is_found():
+    rng = np.random.default_rng(0)
+    items = dc.Items(20, list(range(50)), [rng.integers(0, 1 << 63, 16, dtype=np.uint64) for _ in range(50)])
+    flips = [rng.permutation(64)[:n] for n in range(0, 33) for _ in range(30)]
+    prints = np.array([items.prints[k % 50] ^ np.bitwise_xor.reduce(np.uint64(1) << f.astype(np.uint64))
+                       if len(f) else items.prints[k % 50] for k, f in enumerate(flips)], np.uint64)
+    window, item, distance = items.within(prints)
+    brute = np.bitwise_count(prints[:, None] ^ items.prints[None, :])
+    assert set(zip(window.tolist(), item.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(brute <= dc.RADIUS))))
+    assert (distance == brute[window, item]).all()
+
+
+def test_empty_tables(spark):
+    docs, items = planted(spark)
+    assert dc.contaminations(docs, items.limit(0)).collect() == []
+    assert dc.contaminations(empty(spark), items).collect() == []
+    assert dc.without_contaminated(docs, items.limit(0)).count() == docs.count()
+    assert dc.contaminations(documents(spark), items.where("item_id is null and text is null")).collect() == []
+
+
+@pytest.mark.parametrize("text", [None, "", " ", "a", "a b c d"])
+def test_short_texts(text):
+    index = dc.Index([(1, "a b c d"), (2, "a"), (3, "x y z a b c d e")])
+    assert {h[1] for h in index.search(pa.array([text, None, text], pa.string()), 0.8)} == ({2} if text == "a" else {1, 2} if text == "a b c d" else set())
