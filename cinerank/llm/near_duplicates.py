@@ -277,16 +277,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tested = stored(_survivors(star, reps, needed), "pairs")
     links = confirmed(tested)
 
+    groups = stored(connected_components(links), "components")
     for forest in (True, False):
-        groups = stored(connected_components(links), "components")
         named = (shared.join(groups.withColumnRenamed("node", "id"), "id", "left")
                  .select("key", "band", "id", F.coalesce("component", "id").alias("component")))
         open_keys = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                      .where("low != high").select("key"))
         pairs = _block_survivors(named.join(open_keys, "key", "left_semi"), reps, needed, forest)
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links, tested = links.union(confirmed(pairs)), tested.union(pairs)
-    groups = connected_components(links)
+        tested, links = tested.union(pairs), confirmed(pairs)
+        if not links.isEmpty():  # stars of the components so far, and what joins them
+            stars = groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
+            groups = stored(connected_components(stars.union(links)), "components")
 
     of_set = (reps.join(groups.withColumnRenamed("node", "id"), "id", "left")
               .select("h1", "h2", "n", F.coalesce("component", "id").alias("component")))
