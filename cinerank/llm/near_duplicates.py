@@ -13,8 +13,11 @@ is left is decided on the full sets.
 
 A pair of similarity 0.8 shares no band with chance (1 - 0.8^6)^40, about 5 in a million, and less above.
 
-Cost: a key that many documents of *different* components share, such as documents that repeat one long passage but
-differ elsewhere, is compared block by block, which is quadratic in those documents; six values per band make that rare.
+Where two blocks of one key hold far more plausible pairs than members, as in a crowd of texts that are nearly similar
+enough, the pairs are not emitted: the blocks meet once more with the full sets and give the links that join components.
+
+Cost: a key that many documents of *different* components share is compared block by block, which is quadratic in those
+documents; six values per band make that rare.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ from cinerank.llm.components import connected_components
 from cinerank.session import stored
 
 ROWS_PER_BAND, BANDS, BATCH = 6, 40, 24
-BLOCK = 512
+BLOCK, CELL = 512, 128
+DENSE = 4
 BROADCAST_IDS = 1_000_000
 SEED = 77
 _SLICE = 1 << 15
@@ -155,8 +159,8 @@ def _survivors(pairs: DataFrame, reps: DataFrame, needed: list[int]) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _forest(left: np.ndarray, right: np.ndarray, order: np.ndarray) -> list[int]:
-    """Pairs, taken in ``order``, that join what earlier ones have not joined yet."""
+def _forest(left: np.ndarray, right: np.ndarray, order: np.ndarray, holds=lambda k: True) -> list[int]:
+    """Pairs, taken in ``order``, that hold and join what earlier ones have not joined yet."""
     parent: dict = {}
 
     def root(x):
@@ -167,7 +171,7 @@ def _forest(left: np.ndarray, right: np.ndarray, order: np.ndarray) -> list[int]
     out = []
     for k in order.tolist():
         a, b = root(left[k]), root(right[k])
-        if a != b:
+        if a != b and holds(k):
             parent[b] = a
             out.append(k)
     return out
@@ -196,49 +200,103 @@ def _block_pairs(sl: np.ndarray, sr: np.ndarray, cl: np.ndarray, cr: np.ndarray,
     return left, right
 
 
-def _block_survivors(members: DataFrame, reps: DataFrame, needed: list[int], forest: bool) -> DataFrame:
-    """Plausible pairs of members ``(key, band, id, component)`` of one key but different components, each pair once.
-
-    Members are packed into blocks of bounded size, and blocks meet blocks, so no task holds a whole key."""
-    count = ROWS_PER_BAND * BANDS
-    kind = reps.schema["id"].dataType.simpleString()
+def _blocks(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """Members ``(key, band, id, component)`` with their signatures in blocks of bounded size, so that no task holds a
+    whole key."""
     size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    packed = (members.join(size, "key").join(reps.select("id", "sig"), "id")
-              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-              .groupBy("key", "band", "block").agg(F.collect_list(F.struct("id", "component", "sig")).alias("own")))
-    packed = stored(packed, "blocks")
-    met = (packed.select("key", "band", F.col("block").alias("x"), F.col("own").alias("left"))
-           .join(packed.select("key", F.col("block").alias("y"), F.col("own").alias("right")), "key").where("x <= y")
-           .select("band", (F.col("x") == F.col("y")).alias("same"), "left", "right"))
+    return stored(members.join(size, "key").join(reps.select("id", "sig"), "id")
+                  .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+                  .groupBy("key", "band", "block").agg(F.collect_list(F.struct("id", "component", "sig")).alias("own")), "blocks")
+
+
+def _columns(block: pa.Array, *names: str) -> list:
+    """Signatures as a matrix and the other fields as arrays."""
+    return [_matrix(block.field(n), ROWS_PER_BAND * BANDS) if n == "sig" else np.array(block.field(n).to_pylist()) for n in names]
+
+
+def _block_survivors(blocks: DataFrame, kind: str, needed: list[int], forest: bool) -> DataFrame:
+    """Plausible pairs ``(a, b)`` of members of one key but different components, each pair once.
+
+    Two blocks with far more such pairs than members are returned as ``(key, x, y)`` instead."""
+    met = (blocks.select("key", "band", F.col("block").alias("x"), F.col("own").alias("left"))
+           .join(blocks.select("key", F.col("block").alias("y"), F.col("own").alias("right")), "key").where("x <= y")
+           .select("key", "band", "x", "y", "left", "right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                left, right = (batch.column(c)[k].values for c in ("left", "right"))
-                sl, sr = (_matrix(side.field("sig"), count) for side in (left, right))
-                il, ir, cl, cr = (np.array(side.field(c).to_pylist()) for c in ("id", "component") for side in (left, right))
-                i, j = _block_pairs(sl, sr, cl, cr, batch.column("same")[k].as_py(), batch.column("band")[k].as_py(),
-                                    needed, forest)
+            for row in range(batch.num_rows):
+                key, band, x, y = (batch.column(c)[row].as_py() for c in ("key", "band", "x", "y"))
+                il, cl, sl = _columns(batch.column("left")[row].values, "id", "component", "sig")
+                ir, cr, sr = _columns(batch.column("right")[row].values, "id", "component", "sig")
+                i, j = _block_pairs(sl, sr, cl, cr, x == y, band, needed, forest)
+                if len(i) > DENSE * (len(il) + len(ir)):
+                    columns = [[None], [None], [key], [x], [y]]
+                else:
+                    none = [None] * len(i)
+                    columns = [np.minimum(il[i], ir[j]), np.maximum(il[i], ir[j]), none, none, none]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(il[i], ir[j])), pa.array(np.maximum(il[i], ir[j]))], ["a", "b"])
+                    [pa.array(c, t) for c, t in zip(columns, (batch.column("left").type.value_type.field("id").type,) * 2
+                                                    + (pa.int64(), pa.int32(), pa.int32()))], ["a", "b", "key", "x", "y"])
 
-    return met.mapInArrow(run, f"a {kind}, b {kind}")
+    return met.mapInArrow(run, f"a {kind}, b {kind}, key long, x int, y int")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold, as links."""
-    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
+def _dense_links(dense: DataFrame, blocks: DataFrame, docs: DataFrame, width: int, percent: int, needed: list[int]) -> DataFrame:
+    """Links within the block pairs ``(key, x, y)``, as many as join the components: the members' full sets travel with
+    the blocks, cut into cells, and pairs are neither emitted nor checked once their members are joined."""
+    own = (blocks.join(dense.select("key", F.explode(F.array("x", "y")).alias("block")).distinct(), ["key", "block"])
+           .select("key", "band", "block", F.inline("own")))
+    full = _full_sets(own.select("id").distinct(), docs, width)
+    cells = stored(own.join(full.select("id", "hashes"), "id")
+                   .groupBy("key", "band", "block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(BLOCK // CELL)).cast("int").alias("cell"))
+                   .agg(F.collect_list(F.struct("id", "component", "sig", "hashes")).alias("own")), "cells")
+
+    def side(block: str, name: str) -> DataFrame:
+        return cells.select("key", F.col("block").alias(block), F.col("cell").alias(f"c{block}"), F.col("own").alias(name))
+
+    met = (dense.join(side("x", "left"), ["key", "x"]).join(side("y", "right"), ["key", "y"]).where("x < y or cx <= cy")
+           .join(cells.select("key", "band").distinct(), "key")
+           .select("band", F.expr("x = y and cx = cy").alias("same"), "left", "right"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                left, right = (batch.column(c)[row].values for c in ("left", "right"))
+                il, cl, sl = _columns(left, "id", "component", "sig")
+                ir, cr, sr = _columns(right, "id", "component", "sig")
+                hl, hr = ([np.frombuffer(x.as_buffer(), np.uint64) for x in side.field("hashes")] for side in (left, right))
+                i, j = _block_pairs(sl, sr, cl, cr, batch.column("same")[row].as_py(), batch.column("band")[row].as_py(), needed, False)
+                links = _forest(cl[i], cr[j], np.arange(len(i)), lambda k: linked(hl[i[k]], hr[j[k]], percent))
+                yield pa.RecordBatch.from_arrays([pa.array(il[i[links]]), pa.array(ir[j[links]])], ["u", "v"])
+
+    kind = full.schema["id"].dataType.simpleString()
+    return met.mapInArrow(run, f"u {kind}, v {kind}")
+
+
+def linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """Whether two sets, as sorted hashes, reach the similarity."""
+    if min(len(left), len(right)) * 100 < max(len(left), len(right)) * percent:
+        return False
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * both >= percent * (len(left) + len(right) - both)
+
+
+def _full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    ids = stored(ids, "ids")
     if ids.count() <= BROADCAST_IDS:  # beyond that the texts meet the ids in a shuffle
         ids = F.broadcast(ids)
-    full = stored(sets(docs.join(ids, "id", "left_semi").dropDuplicates(["id"]), width, with_hashes=True), "sets")
+    return stored(sets(docs.join(ids, "id", "left_semi").dropDuplicates(["id"]), width, with_hashes=True), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs whose full shingle sets reach the threshold, as links."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    full = _full_sets(ids, docs, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stay = []
-            for k in range(batch.num_rows):
-                left, right = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in ("ha", "hb"))
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                stay.append(100 * both >= percent * (len(left) + len(right) - both))
+            ha, hb = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in ("ha", "hb"))
+            stay = [linked(x, y, percent) for x, y in zip(ha, hb)]
             yield batch.select(["a", "b"]).filter(pa.array(stay, pa.bool_()))
 
     left, right = (full.select(F.col("id").alias(x), F.col("hashes").alias(f"h{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
@@ -283,9 +341,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .select("key", "band", "id", F.coalesce("component", "id").alias("component")))
         open_keys = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                      .where("low != high").select("key"))
-        pairs = _block_survivors(named.join(open_keys, "key", "left_semi"), reps, needed, forest)
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        blocks = _blocks(named.join(open_keys, "key", "left_semi"), reps)
+        found = stored(_block_survivors(blocks, reps.schema["id"].dataType.simpleString(), needed, forest), "pairs")
+        pairs = stored(found.where("key is null").select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+        dense = found.where("key is not null").select("key", "x", "y")
         tested, links = tested.union(pairs), confirmed(pairs)
+        if not dense.isEmpty():
+            links = links.union(stored(_dense_links(dense, blocks, texts, width, percent, needed), "links"))
         if not links.isEmpty():  # stars of the components so far, and what joins them
             stars = groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
             groups = stored(connected_components(stars.union(links)), "components")

@@ -39,6 +39,15 @@ def test_all_keys_open_and_blocks_of_two(spark, monkeypatch):
     assert got == least
 
 
+def test_dense_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "DENSE", 0)
+    monkeypatch.setattr(nd, "BLOCK", 8)
+    monkeypatch.setattr(nd, "CELL", 3)
+    docs = documents(spark, 5).where("doc_id is not null and doc_id != 9")
+    least, _ = components({r["doc_id"]: r["text"] for r in docs.collect()})
+    assert {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(docs).collect()} == least
+
+
 def test_empty_table(spark):
     assert nd.near_duplicates(empty(spark)).collect() == []
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
