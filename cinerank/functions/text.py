@@ -19,7 +19,9 @@ def to_int(c: Column) -> Column:
 
 
 def to_double(c: Column) -> Column:
-    return c.try_cast("double")
+    """A finite number or null."""
+    number = c.try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def contains_ignore_case(haystack: Column, needle: Column) -> Column:

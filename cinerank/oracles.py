@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
-from cinerank.sources.fixtures import GENRES
-from cinerank.plans.statistics import TOP_GENRES
+# Genre words of the test movies, and the genres that get a top list.
+GENRES = (
+    "Action", "Adventure", "Animation", "Comedy", "Crime", "Documentary", "Drama", "Family", "Fantasy", "Foreign",
+    "History", "Horror", "Musical", "Mystery", "Romance", "Science Fiction", "TV Movie", "Thriller", "War", "Western",
+)
+TOP_GENRES = (
+    "Action", "Adventure", "Animation", "Comedy", "Crime", "Documentary", "Drama", "Family", "Fantasy", "Foreign",
+    "History", "Horror", "Music", "Mystery", "Romance", "Science", "Tv", "Thriller", "War", "Western",
+)
 
 # The bucket, of 50, that Spark's HashingTF gives each genre word.
 _BUCKETS = {
@@ -68,14 +75,14 @@ cosines AS (
   FROM vectors a JOIN vectors b ON a.term = b.term AND a.mid <> b.mid
   JOIN norms na ON na.mid = a.mid AND na.norm > 0 JOIN norms nb ON nb.mid = b.mid AND nb.norm > 0
   GROUP BY a.mid, b.mid),
-recs AS (
+recs AS MATERIALIZED (
   SELECT mid, row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid)::INT AS rank, rec_mid, score
   FROM cosines WHERE score > 0.6)"""
 
 _HASHED_RECS = f"{_MOVIES}, {_WORDS}, {_HASHED}, {_vectors('SELECT mid, term FROM hashed')}, {_COSINES}"
 _WORD_RECS = f"{_MOVIES}, {_WORDS}, {_vectors('SELECT mid, word AS term FROM words')}, {_COSINES}"
 
-_RECENT = """recent AS (
+_RECENT = """recent AS MATERIALIZED (
   SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC)::INT AS rank,
          mid, score, "timestamp"
   FROM ratings QUALIFY row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) <= 20)"""
@@ -101,6 +108,11 @@ _STREAM_RECS = f"""WITH {_REALTIME}, {_CANDIDATES}, {_STREAM}
 SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid)::INT AS rank, mid, round(score, 6) AS score
 FROM scored"""
 
+_SPLIT = """split AS (
+  SELECT *, CASE WHEN ('0x' || substr(md5('42|' || uid || '|' || mid || '|' || score::DECIMAL(18, 6) || '|' || "timestamp"), 1, 8))
+                      ::BIGINT % 10000 < 8000 THEN 'training' ELSE 'test' END AS side
+  FROM ratings)"""
+
 _RECENT_RATINGS = f'WITH {_RATINGS}, {_RECENT} SELECT uid, rank, mid, score, "timestamp" FROM recent'
 _TOP_LISTS = f"""WITH {_RATINGS}, {_MOVIES}, {_AVERAGES}, {_TOP}
 SELECT genres, rank, mid, round(score, 6) AS score FROM top WHERE rank <= 10"""
@@ -139,6 +151,9 @@ pairs AS (
 SELECT mid, rec_mid, round(score, 9) AS score FROM pairs WHERE round(score, 9) > 0.3""",
     "log_filter": f"WITH {_PAYLOADS} SELECT value FROM payloads",
     "log_copy_streaming": f"WITH {_PAYLOADS} SELECT value FROM payloads",
+    "rejected_events": """SELECT user_id || '|' || json_extract(props, '$.k') || '|'
+       || ['1e9', 'Infinity', 'NaN', '', '-0.5', 'good'][(epoch_us(ts) // 1000000 % 6)::INT + 1] || '|' || (epoch_us(ts) // 1000000) AS value
+FROM events WHERE event_id % 2 = 0 AND epoch_us(ts) // 1000000 % 6 < 5""",
     "rating_event_parse": """SELECT user_id::INT AS uid, json_extract(props, '$.k')::INT AS mid,
        ((event_id % 10) + 1) / 2.0::DOUBLE AS score, (epoch_us(ts) // 1000000)::INT AS "timestamp"
 FROM events WHERE event_id % 2 = 0""",
@@ -154,6 +169,18 @@ LEFT JOIN recs s ON s.mid = n.mid AND s.rec_mid = o.mid""",
     "user_rec_list_sizes": f"""WITH {_REALTIME}, {_CANDIDATES}, {_STREAM}
 SELECT u.uid, count(s.mid)::INT AS n_recs
 FROM (SELECT DISTINCT uid FROM ratings) u LEFT JOIN scored s ON s.uid = u.uid GROUP BY u.uid""",
+    "train_test_split": f"WITH {_RATINGS}, {_SPLIT} SELECT uid, mid, score, \"timestamp\", side FROM split",
+    "als_user_recs": f"""WITH {_RATINGS}
+SELECT DISTINCT uid, n AS n_recs, n AS n_movies, true AS best_first, true AS positive, true AS scores_are_products
+FROM ratings, (SELECT least(20, count(DISTINCT mid)) AS n FROM ratings)""",
+    "als_movie_recs": f"""WITH {_RATINGS}
+SELECT DISTINCT mid, 0::BIGINT AS self_pairs, 0::BIGINT AS asymmetric, 0::BIGINT AS low, 0::BIGINT AS rank_gaps FROM ratings""",
+    "als_grid_search": f"""WITH {_RATINGS}, {_SPLIT}
+SELECT rank, "lambda", (SELECT count(*) FROM split WHERE side = 'training') AS training_rows,
+       (SELECT count(*) FROM split WHERE side = 'test') AS test_rows, true AS has_error, true AS best_is_lowest
+FROM (SELECT unnest([20, 50, 100, 200, 300])::INT AS rank), (SELECT unnest([0.01, 0.1, 1.0])::DOUBLE AS "lambda")""",
+    "als_best_parameters": f"""WITH {_RATINGS}
+SELECT 1::BIGINT AS best_rows, 0::INT AS lower_rows WHERE EXISTS (SELECT 1 FROM ratings)""",
     "rmse_exact": f"""WITH {_RATINGS}, {_AVERAGES}
 SELECT round(sqrt(avg((score - avg) * (score - avg))), 6) AS rmse FROM ratings JOIN averages USING (mid)""",
 }

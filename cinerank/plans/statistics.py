@@ -29,7 +29,9 @@ def rate_more_recently_movies(ratings: DataFrame, time_zone: str = "UTC") -> Dat
 
 
 def average_movies(ratings: DataFrame) -> DataFrame:
-    return ratings.groupBy("mid").agg(F.avg("score").alias("avg"))
+    """The sum is decimal, so the averages, which order lists, do not depend on the order of the rows."""
+    total = F.sum(F.col("score").cast("decimal(28,9)")).cast("double")
+    return ratings.groupBy("mid").agg((total / F.count("score")).alias("avg"))
 
 
 def movies_with_average(movies: DataFrame, averages: DataFrame) -> DataFrame:
@@ -43,9 +45,8 @@ def genres_top_movies(movies: DataFrame, averages: DataFrame, genres: tuple[str,
 
     The genre list is unfolded per movie instead of joined, so no product of genres and movies is formed.
     """
-    matched = F.array(*[
-        F.when(contains_ignore_case(F.col("genres"), F.lit(g)), F.lit(g)) for g in genres])
+    matched = F.array_compact(F.array(*[
+        F.when(contains_ignore_case(F.col("genres"), F.lit(g)), F.lit(g)) for g in genres]))
     candidates = (movies_with_average(movies.select("mid", "genres"), averages)
-                  .select(F.explode(matched).alias("genres"), "mid", F.col("avg").alias("score"))
-                  .where(F.col("genres").isNotNull()))
+                  .select(F.explode(matched).alias("genres"), "mid", F.col("avg").alias("score")))
     return top_k(candidates, ["genres"], [F.desc("score"), F.asc("mid")], k).select("genres", "rank", "mid", "score")

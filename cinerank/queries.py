@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from cinerank import schemas
 from cinerank.functions.measures import rmse
@@ -20,6 +20,7 @@ from cinerank.streaming import recommend, source
 from cinerank.streaming.recent import recent_per_user
 
 Query = Callable[[SparkSession, str], DataFrame]
+_GRIDS: dict[tuple[str, str], DataFrame] = {}
 
 
 def parse_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +139,22 @@ def log_copy_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("value string").parquet(f"{root}/events")
 
 
+def rejected_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged rating events, kept by a running stream."""
+    root = work_dir(spark, "rejected")
+    score = F.split_part("value", F.lit("|"), F.lit(3))
+    number = F.split_part("value", F.lit("|"), F.lit(4)).cast("long")
+    damage = F.array(*map(F.lit, ("1e9", "Infinity", "NaN", "", "-0.5", "good")))
+    bad = F.get(damage, (number % 6).cast("int"))
+    parts = F.split("value", "\\|")
+    lines = source.rating_payloads(fixtures.log_lines(spark, sf_dir)).select(F.concat_ws(
+        "|", F.get(parts, F.lit(0)), F.get(parts, F.lit(1)), F.when(bad == "good", score).otherwise(bad), F.get(parts, F.lit(3))).alias("value"))
+    lines.write.text(f"{root}/events")
+    payloads = source.read_lines(spark, "text", f"{root}/events")
+    source.write_rejected(payloads, f"{root}/out", f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    return spark.read.schema("value string").parquet(f"{root}/out")
+
+
 def user_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return realtime.user_recent_ratings(fixtures.ratings(spark, sf_dir))
 
@@ -192,19 +209,56 @@ def stream_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unpack_recs(latent.user_recs(latent.train(fixtures.ratings(spark, sf_dir))), "uid")
+    """Every user's list, checked: its length, distinct movies, order, signs, and scores against the factors."""
+    model = latent.train(fixtures.ratings(spark, sf_dir))
+    recs = unpack_recs(latent.user_recs(model), "uid")
+    users = model.userFactors.select(F.col("id").alias("uid"), F.col("features").alias("u"))
+    movies = model.itemFactors.select(F.col("id").alias("mid"), F.col("features").alias("m"))
+    dot = F.aggregate(F.zip_with("u", "m", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda total, x: total + x)
+    scored = recs.join(users, "uid").join(movies, "mid").withColumn("exact", F.abs(F.col("score") - dot) < 1e-4)
+    better = F.lag("score").over(W.partitionBy("uid").orderBy("rank"))
+    checked = scored.withColumn("fall", F.coalesce(better >= F.col("score"), F.lit(True)))
+    return checked.groupBy("uid").agg(
+        F.count("*").alias("n_recs"), F.countDistinct("mid").alias("n_movies"), F.every("fall").alias("best_first"),
+        F.every(F.col("score") > 0).alias("positive"), F.every("exact").alias("scores_are_products"))
 
 
 def als_movie_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latent.movie_recs(latent.train(fixtures.ratings(spark, sf_dir)))
+    """Every rated movie's list, checked: pairs with itself or without their mirror, low scores and gaps in the ranks."""
+    ratings = fixtures.ratings(spark, sf_dir)
+    recs = stored(latent.movie_recs(latent.train(ratings)), "movie-recs")
+    mirror = recs.select(F.col("rec_mid").alias("mid"), F.col("mid").alias("rec_mid"), F.col("score").alias("back"))
+    gap = F.col("rank") - F.coalesce(F.lag("rank").over(W.partitionBy("mid").orderBy("rank")), F.lit(0)) != 1
+    checked = recs.join(mirror, ["mid", "rec_mid"], "left").withColumn("gap", gap)
+
+    def count(condition: Column) -> Column:
+        return F.count_if(F.coalesce(condition, F.lit(False)))
+
+    return ratings.select("mid").distinct().join(checked, "mid", "left").groupBy("mid").agg(
+        count(F.col("mid") == F.col("rec_mid")).alias("self_pairs"),
+        count(F.col("rec_mid").isNotNull() & ~F.col("score").eqNullSafe(F.col("back"))).alias("asymmetric"),
+        count(F.col("score") <= latent.MIN_SIMILARITY).alias("low"), count(F.col("gap")).alias("rank_gaps"))
+
+
+def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    training, test = latent.split(fixtures.ratings(spark, sf_dir).select("uid", "mid", "score", "timestamp"))
+    return training.withColumn("side", F.lit("training")).union(test.withColumn("side", F.lit("test")))
 
 
 def als_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latent.grid_search(fixtures.ratings(spark, sf_dir), ranks=(5, 10), regs=(0.01, 0.1))
+    """All fits of the search, with the rows they saw, whether they have an error, and whether the best is the lowest."""
+    lowest = F.col("rmse") == F.min("rmse").over(W.partitionBy())
+    return _grid(spark, sf_dir).select(
+        "rank", "lambda", "training_rows", "test_rows", (F.col("rmse") > 0).alias("has_error"),
+        (F.max(F.when(F.col("best"), lowest)).over(W.partitionBy())).alias("best_is_lowest"))
 
 
 def als_best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latent.best_parameters(als_grid_search(spark, sf_dir))
+    """How many rows of the search are best, and how many have a lower error than these."""
+    grid = _grid(spark, sf_dir)
+    best = latent.best_parameters(grid).withColumnRenamed("rmse", "best_rmse").select("best_rmse")
+    lower = grid.join(best, F.col("rmse") < F.col("best_rmse"), "left_semi")
+    return best.agg(F.count("*").alias("best_rows")).withColumn("lower_rows", F.lit(lower.count()))
 
 
 def rmse_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,9 +274,9 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     stored_search_documents, rate_more_movies, rate_more_recently_movies, average_movies, movie_average_join,
     genres_top_movies, genres_top_movies_packed, distinct_users, distinct_rated_movies, genre_document_frequencies,
     genre_tfidf, genre_tfidf_exact, content_movie_recs, content_movie_recs_exact, embedding_similarity, log_filter,
-    rating_event_parse, log_copy_streaming, user_recent_ratings, unrated_candidates, recent_similarity,
+    rating_event_parse, log_copy_streaming, rejected_events, user_recent_ratings, unrated_candidates, recent_similarity,
     stream_recs_replay, user_rec_list_sizes, stream_recs_streaming, stream_recent_ratings, als_user_recs,
-    als_movie_recs, als_grid_search, als_best_parameters, rmse_exact,
+    als_movie_recs, train_test_split, als_grid_search, als_best_parameters, rmse_exact,
 )}
 
 
@@ -234,6 +288,14 @@ def _content(spark: SparkSession, sf_dir: str, **vocabulary) -> ItemSimilarity:
     return content.content_similarity(fixtures.movies(spark, sf_dir), **vocabulary)
 
 
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search runs once per application and tables; its queries read the stored result."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GRIDS:
+        _GRIDS[key] = stored(latent.grid_search(fixtures.ratings(spark, sf_dir)), "grid")
+    return _GRIDS[key]
+
+
 def _saved_content(spark: SparkSession, sf_dir: str) -> ItemSimilarity:
     """Stored first, as in production: the real-time plans refer to it several times."""
     path = work_dir(spark, "similarity")
