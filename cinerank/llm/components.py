@@ -19,7 +19,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return _links(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -29,8 +29,12 @@ def _small_star(links: DataFrame) -> DataFrame:
                   .union(least.select("u", F.col("m").alias("v"))))
 
 
-def _sum(links: DataFrame):
-    return links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node has one link down and none from above, or only links from above."""
+    ends = (links.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+            .union(links.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))))
+    counted = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return counted.where("down > 1 or (down = 1 and up = 1)").isEmpty()
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -41,11 +45,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     """
     links = stored(_links(links.where("u is not null and v is not null")
                           .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "links")
-    before = None
-    while (now := _sum(links)) != before:
-        if now[0] == 0:
-            break
-        before = now
+    while not _are_stars(links):
         links = stored(_small_star(_large_star(links)), "links")
-    least = links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-    return least.union(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

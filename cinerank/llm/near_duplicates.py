@@ -3,9 +3,8 @@
 Documents are sets of word shingles. Equal sets collapse into one representative first, so a group of copies, however
 large, enters the search once. Every band of a representative's signature is a key. Of a key's members each is
 compared with the smallest one; only keys whose members are then still in different components go on. There members of
-different components meet in blocks: first the pairs that look most similar, as many as could join the components of
-their blocks, and, where components are still apart after that, all the rest. A group of near copies thus costs a few
-stars and trees, not its pairs, and no link that can join two components is left out.
+different components meet in blocks. A group of near copies thus costs a star, not its pairs, and no link that can join
+two components is left out.
 
 A comparison reads the signatures in batches. With m of n values equal and a uniform prior, the similarity is
 Beta(m + 1, n - m + 1); a pair is dropped once the chance that it reaches the threshold is below ``miss``. What
@@ -22,7 +21,7 @@ documents; six values per band make that rare.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -35,7 +34,7 @@ from cinerank.session import stored
 
 ROWS_PER_BAND, BANDS, BATCH = 6, 40, 24
 BLOCK, CELL = 512, 128
-DENSE = 4
+DENSE = 2
 BROADCAST_IDS = 1_000_000
 SEED = 77
 _SLICE = 1 << 15
@@ -159,8 +158,8 @@ def _survivors(pairs: DataFrame, reps: DataFrame, needed: list[int]) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _forest(left: np.ndarray, right: np.ndarray, order: np.ndarray, holds=lambda k: True) -> list[int]:
-    """Pairs, taken in ``order``, that hold and join what earlier ones have not joined yet."""
+def _joining(left: np.ndarray, right: np.ndarray, holds: Callable[[int], bool]) -> list[int]:
+    """Places of the pairs that hold, leaving out those whose ends earlier ones have joined already."""
     parent: dict = {}
 
     def root(x):
@@ -169,7 +168,7 @@ def _forest(left: np.ndarray, right: np.ndarray, order: np.ndarray, holds=lambda
         return x
 
     out = []
-    for k in order.tolist():
+    for k in range(len(left)):
         a, b = root(left[k]), root(right[k])
         if a != b and holds(k):
             parent[b] = a
@@ -178,26 +177,19 @@ def _forest(left: np.ndarray, right: np.ndarray, order: np.ndarray, holds=lambda
 
 
 def _block_pairs(sl: np.ndarray, sr: np.ndarray, cl: np.ndarray, cr: np.ndarray, same: bool, band: int,
-                 needed: list[int], forest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of plausible pairs of two blocks, of different components, whose first common band is ``band``.
-
-    With ``forest`` only as many as can join their components, those that look most similar first."""
-    lefts, rights, equals = [], [], []
+                 needed: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of plausible pairs of two blocks, of different components, whose first common band is ``band``."""
+    lefts, rights = [], []
     for i in range(len(sl)):
         other = np.flatnonzero(cr != cl[i])
         if same:
             other = other[other > i]
         other = other[plausible(np.broadcast_to(sl[i], (len(other), sl.shape[1])), sr[other], needed, BATCH)]
-        equal = sr[other] == sl[i]
-        here = equal.reshape(len(other), BANDS, ROWS_PER_BAND).all(axis=2).argmax(axis=1) == band
+        equal = (sr[other] == sl[i]).reshape(len(other), BANDS, ROWS_PER_BAND)
+        here = equal.all(axis=2).argmax(axis=1) == band
         lefts.append(np.full(here.sum(), i))
         rights.append(other[here])
-        equals.append(equal[here].sum(axis=1))
-    left, right = np.concatenate(lefts), np.concatenate(rights)
-    if forest:
-        stay = _forest(cl[left], cr[right], np.argsort(-np.concatenate(equals), kind="stable"))
-        left, right = left[stay], right[stay]
-    return left, right
+    return np.concatenate(lefts), np.concatenate(rights)
 
 
 def _blocks(members: DataFrame, reps: DataFrame) -> DataFrame:
@@ -214,7 +206,7 @@ def _columns(block: pa.Array, *names: str) -> list:
     return [_matrix(block.field(n), ROWS_PER_BAND * BANDS) if n == "sig" else np.array(block.field(n).to_pylist()) for n in names]
 
 
-def _block_survivors(blocks: DataFrame, kind: str, needed: list[int], forest: bool) -> DataFrame:
+def _block_survivors(blocks: DataFrame, kind: str, needed: list[int]) -> DataFrame:
     """Plausible pairs ``(a, b)`` of members of one key but different components, each pair once.
 
     Two blocks with far more such pairs than members are returned as ``(key, x, y)`` instead."""
@@ -228,7 +220,7 @@ def _block_survivors(blocks: DataFrame, kind: str, needed: list[int], forest: bo
                 key, band, x, y = (batch.column(c)[row].as_py() for c in ("key", "band", "x", "y"))
                 il, cl, sl = _columns(batch.column("left")[row].values, "id", "component", "sig")
                 ir, cr, sr = _columns(batch.column("right")[row].values, "id", "component", "sig")
-                i, j = _block_pairs(sl, sr, cl, cr, x == y, band, needed, forest)
+                i, j = _block_pairs(sl, sr, cl, cr, x == y, band, needed)
                 if len(i) > DENSE * (len(il) + len(ir)):
                     columns = [[None], [None], [key], [x], [y]]
                 else:
@@ -265,8 +257,8 @@ def _dense_links(dense: DataFrame, blocks: DataFrame, docs: DataFrame, width: in
                 il, cl, sl = _columns(left, "id", "component", "sig")
                 ir, cr, sr = _columns(right, "id", "component", "sig")
                 hl, hr = ([np.frombuffer(x.as_buffer(), np.uint64) for x in side.field("hashes")] for side in (left, right))
-                i, j = _block_pairs(sl, sr, cl, cr, batch.column("same")[row].as_py(), batch.column("band")[row].as_py(), needed, False)
-                links = _forest(cl[i], cr[j], np.arange(len(i)), lambda k: linked(hl[i[k]], hr[j[k]], percent))
+                i, j = _block_pairs(sl, sr, cl, cr, batch.column("same")[row].as_py(), batch.column("band")[row].as_py(), needed)
+                links = _joining(cl[i], cr[j], lambda k: linked(hl[i[k]], hr[j[k]], percent))
                 yield pa.RecordBatch.from_arrays([pa.array(il[i[links]]), pa.array(ir[j[links]])], ["u", "v"])
 
     kind = full.schema["id"].dataType.simpleString()
@@ -336,21 +328,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = confirmed(tested)
 
     groups = stored(connected_components(links), "components")
-    for forest in (True, False):
-        named = (shared.join(groups.withColumnRenamed("node", "id"), "id", "left")
-                 .select("key", "band", "id", F.coalesce("component", "id").alias("component")))
-        open_keys = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                     .where("low != high").select("key"))
-        blocks = _blocks(named.join(open_keys, "key", "left_semi"), reps)
-        found = stored(_block_survivors(blocks, reps.schema["id"].dataType.simpleString(), needed, forest), "pairs")
-        pairs = stored(found.where("key is null").select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
-        dense = found.where("key is not null").select("key", "x", "y")
-        tested, links = tested.union(pairs), confirmed(pairs)
-        if not dense.isEmpty():
-            links = links.union(stored(_dense_links(dense, blocks, texts, width, percent, needed), "links"))
-        if not links.isEmpty():  # stars of the components so far, and what joins them
-            stars = groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
-            groups = stored(connected_components(stars.union(links)), "components")
+    named = (shared.join(groups.withColumnRenamed("node", "id"), "id", "left")
+             .select("key", "band", "id", F.coalesce("component", "id").alias("component")))
+    open_keys = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                 .where("low != high").select("key"))
+    blocks = _blocks(named.join(open_keys, "key", "left_semi"), reps)
+    found = stored(_block_survivors(blocks, reps.schema["id"].dataType.simpleString(), needed), "pairs")
+    links = confirmed(found.where("key is null").select("a", "b").join(tested, ["a", "b"], "left_anti"))
+    dense = found.where("key is not null").select("key", "x", "y")
+    if not dense.isEmpty():
+        links = links.union(stored(_dense_links(dense, blocks, texts, width, percent, needed), "links"))
+    if not links.isEmpty():  # stars of the components so far, and what joins them
+        stars = groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        groups = connected_components(stars.union(links))
 
     of_set = (reps.join(groups.withColumnRenamed("node", "id"), "id", "left")
               .select("h1", "h2", "n", F.coalesce("component", "id").alias("component")))
