@@ -306,12 +306,12 @@ def _saved_content(spark: SparkSession, sf_dir: str) -> ItemSimilarity:
 def _run_stream(spark: SparkSession, sf_dir: str) -> str:
     """The whole stream over all ratings; returns its output folder."""
     root = work_dir(spark, "stream")
-    recommend.write_rated(realtime.rated_movies(fixtures.ratings(spark, sf_dir)), f"{root}/rated", buckets=8)
+    recommend.write_rated(realtime.rated_movies(fixtures.ratings(spark, sf_dir)), f"{root}/rated", rows_per_bucket=10_000)
     _content(spark, sf_dir).save(f"{root}/similarity")
 
     def run(events: DataFrame) -> None:
         recommend.start(events, f"{root}/similarity", f"{root}/rated", f"{root}/out", f"{root}/checkpoint",
-                        {"availableNow": True}, buckets=8).awaitTermination()
+                        {"availableNow": True}).awaitTermination()
 
     _arrivals(spark, sf_dir, root, run)
     return f"{root}/out"
