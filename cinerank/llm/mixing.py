@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cinerank.session import stored
+
 WEIGHTS = (5, 2, 1)
 CLASSES = 1024
 _UNITS = 10 ** 12
@@ -72,12 +74,12 @@ def mix(docs: DataFrame, size: Column | None = None, seed: int = 0, weights: tup
     cell = F.coalesce(F.pmod(F.col("doc_id"), F.lit(CLASSES)).cast("int"), F.lit(CLASSES))
     rows = sized.select(F.struct(*own).alias("row"), "source", "size", cell.alias("class"), "doc_id")
 
-    counts = sized.select("source", "size", cell.alias("class")).groupBy(keys).agg(F.count("*").alias("n"))
+    counts = stored(sized.select("source", "size", cell.alias("class")).groupBy(keys).agg(F.count("*").alias("n")), "mix-counts")
     in_size = Window.partitionBy("source", "size").orderBy("class")
     classes = counts.withColumn("before_class", F.sum("n").over(in_size) - F.col("n"))
     sizes = counts.groupBy("source", "size").agg(F.sum("n").alias("n"))
     sizes = sizes.withColumn("before_size", F.sum("n").over(Window.partitionBy("source").orderBy("size")) - F.col("n"))
-    rates = (targets(sized.select("source", "size"), weights, share, most)
+    rates = (targets(counts.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, most)
              .withColumn("rate", F.coalesce(
                  F.floor(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size")) * F.lit(float(_UNITS))),
                  F.lit(0)).cast("decimal(16,0)"))
