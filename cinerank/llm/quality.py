@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cinerank.llm.batches import Characters, Words, chunks
@@ -65,7 +66,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     for _ in range(epochs):
         for k in rng.permutation(len(rows)):
             buckets, counts = rows[k]
-            part = counts[:, None] / np.float32(max(1, counts.sum()))
+            part = (counts / np.float32(max(1, counts.sum()))).astype(np.float32)[:, None]
             own = table[buckets]
             average = (part * own).sum(axis=0)
             logits = outputs @ average + bias
@@ -97,12 +98,12 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 2 * per_class ids
              .select("doc_id", "label", "text")
-             .mapInArrow(run, f"doc_id {kind}, label int, buckets binary, counts binary").toArrow().sort_by("doc_id"))
-    classes = found["label"].to_numpy()
+             .mapInArrow(run, f"doc_id {kind}, label int, buckets binary, counts binary").toArrow())
+    order = pc.sort_indices(found["doc_id"]).to_numpy()
+    classes = found["label"].to_numpy()[order]
     if len(np.unique(classes)) < 2:
         return QualityModel(np.zeros(1 << BITS, np.float32), 0.0)
-    rows = [(np.frombuffer(b.as_buffer(), np.int32), np.frombuffer(c.as_buffer(), np.int32).astype(np.float32))
-            for b, c in zip(found["buckets"], found["counts"])]
+    rows = [tuple(np.frombuffer(found[c][k].as_buffer(), np.int32) for c in ("buckets", "counts")) for k in order.tolist()]
     return train(rows, classes)
 
 

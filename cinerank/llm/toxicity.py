@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cinerank.llm.batches import Characters, chunks
@@ -87,9 +88,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 2 * per_class ids
              .select("doc_id", "label", "text").mapInArrow(run, f"doc_id {kind}, label int, own binary").toArrow())
-    found = found.sort_by("doc_id")
-    rows = [np.frombuffer(own.as_buffer(), np.uint32) for own in found["own"]]
-    classes = found["label"].to_numpy()
+    order = pc.sort_indices(found["doc_id"]).to_numpy()
+    rows = [np.frombuffer(found["own"][k].as_buffer(), np.uint32) for k in order.tolist()]
+    classes = found["label"].to_numpy()[order]
     if len(np.unique(classes)) < 2:
         return ToxicityModel(np.zeros(1 << BITS, np.float32), 0.0)
     return fit_linear(rows, classes, log_count_ratios(rows, classes))
