@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RNG.integers(1 << 62, 1 << 63, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 8: powers differ in the low bits as early as they can
