@@ -8,6 +8,8 @@ stages as the operators define.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cinerank.llm import toxicity
@@ -20,6 +22,8 @@ from cinerank.session import stored
 
 SHARDS = 8
 BROADCAST_IDS = 1_000_000
+#: Words of a shingle in the near-duplicate stage; the four of ``op5_near_duplicates`` hold for that query alone.
+NEAR_WIDTH = 5
 #: SQL has neither the classifier nor the signatures; tests compare the stages with brute force.
 ORACLE_SQL = None
 
@@ -30,9 +34,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, model)
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id, and of rows that repeat it, one."""
-    decided = stored(near_duplicates(docs), "decisions")
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int = 4) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id, and of rows that repeat it, one.
+
+    ``STAGES`` takes shingles of ``NEAR_WIDTH`` words."""
+    decided = stored(near_duplicates(docs, width=width), "decisions")
     ids = decided.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
     dropped = stored(ids.where("not kept").select("doc_id"), "dropped")
     if dropped.count() <= BROADCAST_IDS:  # beyond that the documents meet the ids in a shuffle
@@ -63,7 +69,7 @@ def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 STAGES = [
     ("toxicity", drop_toxic),
-    ("near_duplicates", drop_near_duplicates),
+    ("near_duplicates", partial(drop_near_duplicates, width=NEAR_WIDTH)),
     ("decontamination", decontaminate),
     ("mixing", mix_sources),
     ("sharding", shard_documents),

@@ -70,6 +70,17 @@ def test_one_row_of_each_group_stays(spark):
     assert Counter(i for i, _ in left)[None] == 2 and Counter(i for i, _ in left)[9] == 2
 
 
+def test_near_duplicate_stage_takes_five_words(spark):
+    docs = documents(spark).where("doc_id is not null and doc_id != 9")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    least, _ = components(texts, width=5)
+    want = Counter(i for i in texts if least[i] == i)
+    four, _ = components(texts, width=4)
+    assert want != Counter(i for i in texts if four[i] == i)
+    left = dict(cp.STAGES)["near_duplicates"](spark, docs, SF_DIR)
+    assert Counter(r["doc_id"] for r in left.collect()) == want
+
+
 def test_whole_pipeline(spark):
     out = LLM_QUERIES["pipeline"](spark, SF_DIR).persist()
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
