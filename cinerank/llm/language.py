@@ -56,12 +56,12 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> LanguageModel:
-    """N-gram counts of at most ``per_language`` texts of each language, those with the smallest hash."""
+    """N-gram counts of at most ``per_language`` distinct texts of each language, those with the smallest hash."""
     languages = sorted(r[0] for r in docs.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().collect())
     rank = F.xxhash64(text_col)
     picked = None
     for lang in languages:
-        own = (docs.where(F.col(lang_col) == lang).select(rank.alias("rank")).orderBy("rank").limit(per_language)
+        own = (docs.where(F.col(lang_col) == lang).select(rank.alias("rank")).distinct().orderBy("rank").limit(per_language)
                .agg(F.max("rank").alias("last")).select(F.lit(lang).alias("lang"), "last"))
         picked = own if picked is None else picked.union(own)
     counts = np.full((len(languages), 1 << BITS), 0.5)

@@ -1,3 +1,6 @@
+import numpy as np
+from pyspark.sql import functions as F
+
 from cinerank.llm import language
 from tests.llm.texts import empty
 
@@ -38,6 +41,14 @@ def test_nothing_to_learn_or_to_judge(spark):
     assert language.identify(pages(spark).limit(0), model(spark)).collect() == []
 
 
+def test_copies_take_no_places_in_the_sample(spark):
+    texts = spark.range(20).select(F.concat(F.lit(GERMAN + " "), F.col("id")).alias("text"), F.lit("de").alias("lang"))
+    first = texts.orderBy(F.xxhash64("text")).limit(1)
+    copies = texts.union(first.crossJoin(spark.range(50)).select("text", "lang"))
+    once, with_copies = (language.fit(t, per_language=10) for t in (texts, copies))
+    assert np.array_equal(once.chances, with_copies.chances)
+
+
 def test_held_out_pages(spark):
     from cinerank.llm.queries import op4_language
     from pyspark.sql import functions as F
