@@ -7,7 +7,8 @@ explicit allow goes before an inherited block. A member's own rule always holds.
 
 Addresses that differ only in scheme, fragment, trailing slashes or tracking parameters are one node from the start.
 Links come from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` of a page, and from a table of redirects.
-Targets count with their own rules even where no page has their URL.
+All canonical links and refreshes of a page count, their targets with character references resolved. Targets count with
+their own rules even where no page has their URL.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
 _TRACKING = r"^(utm_[^=]*|ref|gclid|fbclid)(=.*)?$"
 _CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
 _REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
+_ABSOLUTE = r"(?i)^[a-z][a-z0-9+.-]*://"
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+_REFERENCE = rf"(?s)^&(#0*[0-9]{{1,7}}|#[xX]0*[0-9a-fA-F]{{1,6}}|{'|'.join(_NAMED)});"
 
 
 def host(url: Column) -> Column:
@@ -54,22 +58,41 @@ def address(url: Column) -> Column:
     return F.when(host(url) != "", F.concat(host(url), F.regexp_replace(path(url), "/+$", ""), query))
 
 
+def unescaped(value: Column) -> Column:
+    """An attribute's value with numeric and the five XML character references resolved, each once."""
+    def piece(x: Column) -> Column:
+        name = F.regexp_extract(x, _REFERENCE, 1)
+        code = (F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10))
+                .when(name.startswith("#"), F.substr(name, F.lit(2))).cast("long"))
+        fits = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(fits, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        for word, meant in _NAMED.items():
+            char = F.when(name == word, F.lit(meant)).otherwise(char)
+        return F.when(char.isNotNull(), F.concat(char, F.regexp_replace(x, _REFERENCE, ""))).otherwise(x)
+
+    return F.when(value.contains("&"), F.array_join(F.transform(F.split(value, "(?=&)"), piece), "")).otherwise(value)
+
+
 def _resolved(base: Column, target: Column) -> Column:
     """``target`` as an absolute URL, seen from the page ``base``."""
     scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
     site = F.concat(scheme, F.lit("://"), host(base))
-    return (F.when(target == "", F.lit(None)).when(target.contains("://"), target)
+    return (F.when(target == "", F.lit(None)).when(target.rlike(_ABSOLUTE), target)
             .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
             .when(target.startswith("/"), F.concat(site, target))
             .otherwise(F.concat(site, F.coalesce(F.nullif(F.regexp_extract(path(base), r"(?s)^(.*/)", 1), F.lit("")), F.lit("/")), target)))
 
 
 def page_links(url: Column, html: Column) -> Column:
-    """Targets of a page's canonical link and refresh redirect."""
+    """Targets of a page's canonical links and refresh redirects."""
     html = F.coalesce(html, F.lit(""))
-    canonical = F.regexp_extract(F.regexp_extract(html, _CANONICAL, 0), r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
-    refresh = F.regexp_extract(F.regexp_extract(html, _REFRESH, 0), r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)""", 1)
-    return F.array_compact(F.array(_resolved(url, canonical), _resolved(url, refresh)))
+
+    def targets(tag: str, value: str) -> Column:
+        return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)),
+                           lambda x: _resolved(url, unescaped(F.regexp_extract(x, value, 1))))
+
+    return F.array_compact(F.concat(targets(_CANONICAL, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""),
+                                    targets(_REFRESH, r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)""")))
 
 
 def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES, id_col: str = "page_id",

@@ -35,6 +35,22 @@ def test_blocks_pass_on_to_aliases_but_not_over_an_explicit_allow(spark):
     assert blocked == {1, 2, 3, 5, 6, 9, 13}  # 7 and 8 share an explicit allow; 9 has its own rule
 
 
+def test_targets_are_unescaped_resolved_and_all_taken(spark):
+    canonical = '<link rel="canonical" href="{}">'
+    refresh = '<meta http-equiv="refresh" content="0; url={}">'
+    rows = [
+        (1, "http://one.com/", canonical.format("http://blocked.com/x?a=1&amp;b=2")), (2, "http://two.com/", canonical.format("http://blocked.com/x?a=1&#38;b=2")),
+        (3, "http://three.com/", refresh.format("http://blocked.com/x?a=1&#x26;b=2")), (4, "http://four.com/", canonical.format("http://blocked.com/x?a=1&amp;amp;b=2")),
+        (5, "http://five.com/", canonical.format("/go?u=https://x.net/")), (6, "http://six.com/", canonical.format("go?u=https://x.net/")),
+        (7, "http://seven.com/go?u=https://blocked.com/", None), (8, "http://seven.com/a", refresh.format("go?u=https://blocked.com/")),
+        (9, "http://nine.com/", canonical.format("http://fine.com/") + canonical.format("http://x.net/1")),
+        (10, "http://ten.com/", refresh.format("http://fine.com/10") + refresh.format("HTTP://x.net/2")),
+        (11, "http://eleven.com/", canonical.format("http://blocked.com/&#26085;&#x1F600;")), (12, "http://twelve.com/", canonical.format("http://x.com/&#xD800;&#0;&#9999999;&nbsp;&")),
+    ]
+    sent = [("http://blocked.com/x?a=1&b=2", "http://q.net/"), ("http://blocked.com/日😀", "http://q.net/"), ("http://seven.com/go?u=https://blocked.com/", "http://q.net/")]
+    assert {k for k, r in verdicts(spark, rows, sent).items() if r["verdict"] == "block"} == {1, 2, 3, 7, 8, 9, 10, 11}
+
+
 def test_repeated_rows_and_empty_table(spark):
     pages = spark.createDataFrame([(1, "http://a.net/", None)] * 3 + [(None, None, None)], "page_id long, url string, html string")
     assert len(judge(pages).collect()) == 4
