@@ -15,6 +15,7 @@ from cinerank.llm.mixing import mix, word_count
 from cinerank.llm.near_duplicates import near_duplicates
 from cinerank.llm.sharding import shard
 from cinerank.llm.url_filter import judge
+from cinerank.llm.vector_codes import ENTRIES, PARTS, ROUNDS, compress
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -181,4 +182,54 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out(toxicity.score(docs, model), 5, 0)
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings."""
+    codes, books = compress(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def _vector_codes_sql() -> str:
+    """The rounds as common table expressions, with dot products of doubles, which hold the tables' small integers exactly."""
+    def assigned(k: int) -> str:
+        return f"""near{k} AS MATERIALIZED (
+    SELECT vec_id, p.part, arg_min(entry, (d, entry)) AS entry, min(d) AS d, any_value(p.x) AS x
+    FROM (SELECT vec_id, part, p.x, entry, list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, b.x) + list_inner_product(b.x, b.x) AS d
+          FROM parts p JOIN book{k} b USING (part)) p
+    GROUP BY vec_id, p.part)"""
+
+    def moved(k: int) -> str:
+        return f"""book{k + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+    FROM book{k} b LEFT JOIN (
+        SELECT part, entry, list(mean ORDER BY place) AS x
+        FROM (SELECT part, entry, place, floor(sum(x[place]) / count(*)) AS mean FROM near{k}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS place)
+              GROUP BY part, entry, place) GROUP BY part, entry) m ON m.part = b.part AND m.entry = b.entry)"""
+
+    rounds = ",\n".join(f"{assigned(k)},\n{moved(k)}" for k in range(ROUNDS))
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v,
+           row_number() OVER (ORDER BY vec_id) - 1 AS place
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT vec_id, place, part, list_slice(v, part * len(v) // {PARTS} + 1, (part + 1) * len(v) // {PARTS}) AS x
+    FROM kept, (SELECT unnest(range({PARTS})) AS part)
+), book0 AS MATERIALIZED (SELECT part, place AS entry, x FROM parts WHERE place < {ENTRIES}),
+{rounds},
+{assigned(ROUNDS)},
+codes AS (
+    SELECT vec_id, string_agg(printf('%02x', entry::INT), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near{ROUNDS} GROUP BY vec_id
+), books AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(x, lambda c: c::BIGINT), ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+    FROM book{ROUNDS}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (vec_id), books
+"""
+
+
+LLM_ORACLES["op11_vector_codes"] = _vector_codes_sql()
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run

@@ -1,0 +1,94 @@
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cinerank.llm import vector_codes as vc
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def by_hand(rows, parts=4, entries=256, rounds=4):
+    """The whole contract in plain Python integers."""
+    kept = sorted(((i, [int(np.floor(np.float64(np.float32(x)) * 1024)) for x in v], label) for i, v, label in rows
+                   if v is not None and all(x is not None and np.isfinite(np.float32(x)) for x in v)), key=lambda r: r[:2])
+    size = len(kept[0][1]) // parts
+    cut = [[v[p * size:(p + 1) * size] for p in range(parts)] for _, v, _ in kept]
+    books = [[cut[k][p] for k in range(min(entries, len(kept)))] for p in range(parts)]
+
+    def near(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            own = [[] for _ in books[p]]
+            for x in cut:
+                own[near(x[p], books[p])[1]].append(x[p])
+            books[p] = [[sum(c) // len(o) for c in zip(*o)] if o else e for o, e in zip(own, books[p])]
+    sha = hashlib.sha256(",".join(str(c) for b in books for e in b for c in e).encode()).hexdigest()
+    coded = []
+    for (i, _, label), x in zip(kept, cut):
+        found = [near(x[p], books[p]) for p in range(parts)]
+        coded.append((i, label, "".join(f"{k:02x}" for _, k in found), sum(d for d, _ in found)))
+    return [(*c, sum(d[3] for d in coded if d[1] == c[1])) for c in coded], sha
+
+
+def test_equals_plain_integers(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), [float(np.float32(x)) for x in rng.normal(0, 0.3, 12).round(1)], int(i) % 3 if i % 7 else None)
+            for i in rng.permutation(90)]
+    rows += [(200, None, 1), (201, [None] + [0.5] * 11, 1), (202, [float("nan")] * 12, 1), (203, [float("-inf")] + [0.0] * 11, 2),
+             (-5, [0.1] * 12, 9), (5, rows[0][1], 0)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"code": F.lit("x"), "error": F.lit("y"), "id": F.lit(0)})
+    want, sha = by_hand(rows, entries=16)
+    got, books = vc.compress(df.repartition(5), entries=16)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert books.sha256() == sha
+    again, _ = vc.compress(df.coalesce(1), entries=16)
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(want, key=str)
+
+
+def test_limbs_give_exact_products_where_floats_do_not():
+    rng = np.random.default_rng(1)
+    for most in (1 << 10, 1 << 24, 1 << 28):
+        a, b = (rng.integers(-most, most, (40, 16)) for _ in range(2))
+        want = [[sum(int(x) * int(y) for x, y in zip(r, s)) for s in b] for r in a]
+        for bits in (5, 11, None):
+            assert vc.dot_products(a, b, bits).tolist() == want
+    assert (np.float64(1 << 28) * ((1 << 28) - 1) + 1) % 2 == 0  # one float64 does not hold such a sum
+    edge = np.array([[-(1 << 24), (1 << 24) - 1]])
+    assert all(np.abs(x).max() <= 1 << 24 for x in vc.limbs(edge, 24))
+    assert sum(int(x[0, 0]) << (5 * k) for k, x in enumerate(vc.limbs(edge, 5))) == -(1 << 24)
+
+
+def test_large_components_are_exact_and_too_large_ones_are_told(spark):
+    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate([(60000, -60000, 59999, 1), (60000, -60000, 60000, 2), (-1, 0, 0, 0)])]
+    got, books = vc.compress(spark.createDataFrame(rows, SCHEMA), entries=2)
+    want, sha = by_hand(rows, entries=2)
+    assert sorted(map(tuple, got.collect())) == sorted(want) and books.sha256() == sha
+    with pytest.raises(Exception, match="too large"):
+        vc.compress(spark.createDataFrame([(1, [1e30] * 4, 0)], SCHEMA))[0].collect()
+
+
+def test_ties_go_to_the_lower_index_and_unused_entries_stay():
+    points, entries = np.array([[0, 0], [2, 2], [9, 9]]), np.array([[1, 1], [1, 1], [50, 50]])
+    assert vc.nearest(points, entries)[0].tolist() == [0, 0, 0]
+
+
+def test_empty_odd_and_null_rows(spark):
+    got, books = vc.compress(spark.createDataFrame([], SCHEMA))
+    assert got.collect() == [] and books.sha256() == hashlib.sha256(b"").hexdigest()
+    rows = [(None, [1.0] * 4, None), (1, [2.0] * 4, None), (1, [2.0] * 4, None), (2, [1.0] * 8, 1), (3, [1.0] * 3, 1), (4, [], 1)]
+    got, books = vc.compress(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        (1, None, "00000000", 0, 0), (1, None, "00000000", 0, 0), (None, None, "02020202", 0, 0)]
+
+
+def test_a_code_stands_for_a_vector_near_its_own(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(0, 0.3, 8).tolist(), 0) for i in range(300)]
+    got, books = vc.compress(spark.createDataFrame(rows, SCHEMA))
+    for r in got.collect():
+        exact = np.floor(np.float32(rows[r.vec_id][1]).astype(float) * 1024)
+        assert round(float((((np.array(books.decode(r.code)) * 1024) - exact) ** 2).sum())) == r.error
