@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from cinerank.llm import language, quality, token_counts, toxicity
+from cinerank.llm.conversation_trie import paths, prefix_trie
 from cinerank.llm.decontaminate import contaminations
 from cinerank.llm.exact_duplicates import exact_duplicates
 from cinerank.llm.labelled import remainder
@@ -232,4 +233,45 @@ FROM codes JOIN kept USING (vec_id), books
 LLM_ORACLES["op11_vector_codes"] = _vector_codes_sql()
 
 
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations."""
+    return prefix_trie(paths(table(spark, sf_dir, "conversations")))
+
+
+LLM_ORACLES["op13_conversation_trie"] = """
+WITH crc AS (  -- the usual table of CRC-32, polynomial 0xEDB88320
+    SELECT list_transform(range(256), lambda i: list_reduce(
+        [i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))) AS steps
+), own AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), hashed AS (
+    SELECT conv_id, turns, conv_id - conv_id % 100 AS base,
+           xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT),
+                           lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT) % 6 AS h
+    FROM own, crc
+), whole AS MATERIALIZED (
+    SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:o.h], o.turns[o.h + 1:]) AS turns FROM hashed o LEFT JOIN own b ON b.conv_id = o.base
+), prefixes AS MATERIALIZED (
+    SELECT conv_id, depth, len(turns) AS whole_depth, md5(turns[1:depth]::JSON::VARCHAR) AS node,
+           CASE WHEN depth > 0 THEN md5(turns[1:depth - 1]::JSON::VARCHAR) END AS parent,
+           CASE WHEN depth > 0 THEN length(turns[depth].text) ELSE 0 END AS size
+    FROM whole, LATERAL (SELECT unnest(range(len(turns) + 1)) AS depth)
+), nodes AS MATERIALIZED (
+    SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (whole_depth = depth), '')) AS ends_sha256
+    FROM prefixes GROUP BY node, depth
+), below AS MATERIALIZED (SELECT parent, count(*) AS n FROM nodes GROUP BY parent),
+sums AS (  -- a node lies below every prefix of its smallest member that is not deeper
+    SELECT a.node, a.depth, count(*) FILTER (b.n IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.size) AS saved_tokens
+    FROM nodes u JOIN prefixes a ON a.conv_id = u.conv_id AND a.depth <= u.depth LEFT JOIN below b ON b.parent = u.node
+    GROUP BY a.node, a.depth
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(b.n, 0) AS n_children, s.n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.node = n.node LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN below b ON b.parent = n.node
+"""
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
