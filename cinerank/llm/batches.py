@@ -7,16 +7,17 @@ and depend on the content only, so they agree between tasks and runs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 19
-_RNG = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RNG.integers(1 << 62, 1 << 63, 256, dtype=np.uint64)
-_STEP = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 8: powers differ in the low bits as early as they can
-_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
+LONG_WORD = 64
+_STEP, _BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x2545F4914F6CDD1D)
+#: by number of bytes, a mask of the first of eight
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _JOIN = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -70,19 +71,22 @@ class Words:
         self.rows = np.searchsorted(self.start, offsets)
 
     def hashes(self) -> np.ndarray:
-        """One hash per word: a polynomial over its bytes, taken from running sums over the batch."""
-        n = len(self.raw)
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        power = np.full(n, _STEP, np.uint64)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.raw] * power, out=total[1:])
-        back = np.full(n, _BACK, np.uint64)
-        back[0] = 1
-        np.multiply.accumulate(back, out=back)
-        return mix((total[self.stop] - total[self.start]) * back[self.start])
+        """One hash per word, mixed block by block from eight bytes each; long words by BLAKE2."""
+        length = self.stop - self.start
+        state = mix(length.astype(np.uint64) * _STEP)
+        padded = np.concatenate([self.raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.raw) + 1, np.uint64, padded, strides=(1,))  # the eight bytes from every place on
+        active = np.flatnonzero(length <= LONG_WORD)
+        for k in range(0, LONG_WORD, 8):
+            left = length[active] - k
+            block = eight[self.start[active] + k] & _BYTES[np.minimum(left, 8)]
+            state[active] = mix(state[active] * _JOIN + mix(block + _BACK))
+            active = active[left > 8]
+            if not len(active):
+                break
+        for i in np.flatnonzero(length > LONG_WORD):
+            state[i] = int.from_bytes(blake2b(self.raw[self.start[i]:self.stop[i]].tobytes(), digest_size=8).digest(), "little")
+        return state
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:

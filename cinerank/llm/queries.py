@@ -14,6 +14,7 @@ from cinerank.llm.exact_duplicates import exact_duplicates
 from cinerank.llm.labelled import remainder
 from cinerank.llm.mixing import mix, word_count
 from cinerank.llm.near_duplicates import near_duplicates
+from cinerank.llm.ngram_join import similar_groups
 from cinerank.llm.sharding import shard
 from cinerank.llm.url_filter import judge
 from cinerank.llm.vector_codes import ENTRIES, PARTS, ROUNDS, compress
@@ -103,6 +104,31 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def _similar_sql(width: int, columns: str) -> str:
+    """Links between all sets that share a shingle, and the least id reachable through them."""
+    return rf"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^ 	-]+') AS w FROM documents
+), shingled AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+        range(1, greatest(len(w) - {width - 1}, 1) + 1), lambda k: array_to_string(w[k:k + {width - 1}], ' ')))) END AS tokens FROM worded
+), named AS MATERIALIZED (
+    SELECT doc_id, len(tokens) AS n, CASE WHEN len(tokens) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY tokens) END AS s FROM shingled
+), tokens AS MATERIALIZED (
+    SELECT s, n, unnest(tokens) AS token FROM shingled JOIN named USING (doc_id) WHERE s = doc_id
+), links AS MATERIALIZED (
+    SELECT a.s AS a, b.s AS b FROM tokens a JOIN tokens b USING (token) WHERE a.s < b.s
+    GROUP BY a.s, b.s, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(s, r) AS (SELECT s, s FROM named UNION SELECT x.s, e.b FROM reached x JOIN edges e ON e.a = x.r)
+SELECT {columns} FROM named JOIN (SELECT s, min(r) AS component_id FROM reached GROUP BY s) USING (s)
+"""
+
+
+LLM_ORACLES["op5_near_duplicates"] = _similar_sql(4, "doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept")
+
+
 @query
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on the URLs of all pages."""
@@ -233,6 +259,15 @@ FROM codes JOIN kept USING (vec_id), books
 LLM_ORACLES["op11_vector_codes"] = _vector_codes_sql()
 
 
+@query
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with similar sets of 5-word shingles."""
+    return similar_groups(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLES["op12_ngram_join"] = _similar_sql(5, "doc_id, n AS n_shingles, component_id")
+
+
 @query
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of all conversations."""
