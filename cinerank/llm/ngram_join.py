@@ -12,8 +12,9 @@ Groups and classes of a pair must agree, so sizes lie in bands with a number of
 its own band and of the bands its larger partners may lie in. Sets so small that a prefix could not be extended are keyed by single
 tokens in their band.
 
-Equal sets are one node from the start. Of a key's members each is compared with the smallest one; only what then is still in
-different components goes on, in blocks. A comparison first bounds the symmetric difference from below by sketches, one bit
+Equal sets are one node from the start, and nodes are in order of their sizes. Members of a key are cut where sizes are too far apart
+to link, and each is compared with the smallest of its cut; only what then is still in different components goes on, those of
+rare tokens as pairs of the few members, the others in blocks. A comparison first bounds the symmetric difference from below by sketches, one bit
 of parity for each residue of the tokens, which loses nothing; what is left is decided on the full sets. Where two blocks leave far
 more pairs than members, their full sets meet and give only links that join components.
 """
@@ -26,7 +27,8 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cinerank.llm.batches import Words, chunks, mix, shingles
 from cinerank.llm.components import connected_components
@@ -36,7 +38,7 @@ WIDTH, PERCENT = 5, 80
 #: Sets that hold a token: above RARE it is combined in pairs, above MANY in threes.
 RARE, MANY = 32, 512
 MAX_FREQUENT = 2_000_000
-SKETCH_BITS = 2048
+SKETCH_BITS = 1024
 COUNTED_AT_ONCE, BUCKET_TOKENS = 1 << 20, 1 << 21
 BLOCK, CELL, DENSE = 256, 64, 4
 BROADCAST_ROWS = 1_000_000
@@ -149,7 +151,12 @@ def _token_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple
 
 
 def _node(tokens: np.ndarray) -> bytes | None:
-    return blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
+    """A set's name: its size, and a digest."""
+    return len(tokens).to_bytes(4) + blake2b(tokens.tobytes(), digest_size=12).digest() if len(tokens) else None
+
+
+def _size(node: str) -> Column:
+    return F.conv(F.hex(F.substring(node, 1, 4)), 16, 10).cast("long")
 
 
 def _rows(docs: DataFrame, width: int) -> DataFrame:
@@ -217,39 +224,67 @@ def _frequent(texts: DataFrame, width: int, total: int, rare: int, many: int, mo
 
 
 def _keys(texts: DataFrame, classes: Classes, width: int, percent: int) -> DataFrame:
-    """``(key, open, node)``; a key that is not ``open`` is one token of class 0."""
+    """``(node, closed, open)``: the keys of a set that are one token of class 0, and the others."""
     known = texts.sparkSession.sparkContext.broadcast(classes)  # MAX_FREQUENT tokens at most
 
+    def lists(keys: list[np.ndarray]) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _token_sets(batches, width):
-            keys, kinds, places, nodes = [], [], [], []
-            for tokens in sets:
-                for kind, found in enumerate(keys_of(tokens, known.value.of(tokens), percent)):
-                    keys.append(found)
-                    kinds.append(np.full(len(found), bool(kind)))
-                    places.append(np.full(len(found), len(nodes)))
-                nodes.append(_node(tokens))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(kinds)),
-                 pa.array(nodes, pa.binary()).take(pa.array(np.concatenate(places)))], ["key", "open", "node"])
-
-    return texts.mapInArrow(run, "key long, open boolean, node binary")
+            closed, wide = zip(*(keys_of(tokens, known.value.of(tokens), percent) for tokens in sets))
+            yield pa.RecordBatch.from_arrays([pa.array(map(_node, sets), pa.binary()), lists(closed), lists(wide)],
+                                             ["node", "closed", "open"])
 
+    return texts.mapInArrow(run, "node binary, closed array<long>, open array<long>")
 
-def _shared(keys: DataFrame) -> DataFrame:
-    """``(key, lead, node)`` of keys with several members; keys with the same members count once.
 
-    A rare token has so few members that they fit a row. Of the others only counts, the smallest member and fingerprints of
-    the members are gathered.
-    """
-    closed = (keys.where("not open").groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("nodes")).where(F.size("nodes") > 1)
-              .groupBy("nodes").agg(F.min("key").alias("key")))
-    rows = closed.select("key", F.get("nodes", F.lit(0)).alias("lead"), F.explode("nodes").alias("node"))
-    wide = stored(keys.where("open").select("key", "node").distinct(), "open-keys")
-    prints = (F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.count("*").alias("members"))
-    alike = (wide.groupBy("key").agg(F.min("node").alias("lead"), *prints).where("members > 1")
-             .groupBy("lead", "x", "y", "members").agg(F.min("key").alias("key")).select("key", "lead"))
-    return rows.union(wide.join(alike, "key").select("key", "lead", "node"))
+def _closed_groups(keys: DataFrame, percent: int) -> DataFrame:
+    """``(group, nodes)``: nodes that share a rare token, cut where sizes are too far apart, each such list once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the rows of a batch's last key, few as the token is rare, wait for the next batch
+        for batch in batches:
+            batch = batch if last is None else pa.concat_batches([last, batch])
+            key = batch.column("key").to_numpy()
+            stop = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            last = batch.slice(stop)
+            yield found(batch.slice(0, stop))
+        if last is not None:
+            yield found(last)
+
+    def found(batch: pa.RecordBatch) -> pa.RecordBatch:
+        key, node = batch.column("key").to_numpy(), batch.column("node")
+        n = np.frombuffer(b"".join(node.to_pylist()), ">u4").reshape(len(node), -1)[:, 0].astype(np.int64)
+        again = np.zeros(len(key), bool)  # the same set twice
+        if len(key) > 1:
+            again[1:] = (key[1:] == key[:-1]) & (n[1:] == n[:-1]) & np.array(pc.equal(node[1:], node[:-1]))
+        keep = np.flatnonzero(~again)
+        key, n = key[keep], n[keep]
+        cut = np.ones(len(key), bool)
+        cut[1:] = (key[1:] != key[:-1]) | (n[:-1] * 100 < n[1:] * percent)
+        begin = np.flatnonzero(cut)
+        length = np.diff([*begin, len(key)])
+        begin, length = begin[length > 1], length[length > 1]
+        offsets = np.concatenate([[0], np.cumsum(length)])
+        places = np.repeat(begin - offsets[:-1], length) + np.arange(offsets[-1])
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), node.take(pa.array(keep[places])))], ["nodes"])
+
+    rows = keys.select(F.explode("closed").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
+    return stored(rows.mapInArrow(run, "nodes array<binary>").distinct().select(F.monotonically_increasing_id().alias("group"), "nodes"), "groups")
+
+
+def _open_members(keys: DataFrame) -> DataFrame:
+    """``(key, size_class, lead, node)`` of the other keys that several nodes share; ``lead`` is the smallest of a size class.
+
+    Keys with the same members, by count and fingerprints, count once. Neither is gathered by key."""
+    size_class = F.floor(F.log(_size("node").cast("double")) / F.lit(np.log(1.1))).cast("int")
+    wide = stored(keys.select(F.explode("open").alias("key"), "node").distinct(), "open-keys")
+    prints = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1)]
+    alike = (wide.groupBy("key").agg(F.count("*").alias("members"), *prints).where("members > 1")
+             .groupBy("members", "x0", "x1").agg(F.min("key").alias("key")).select("key", "members"))
+    own = stored(wide.join(alike, "key").withColumn("size_class", size_class), "open-members")
+    leads = own.groupBy("key", "size_class").agg(F.min("node").alias("lead"))
+    return own.join(leads, ["key", "size_class"])
 
 
 def _survivors(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -399,23 +434,33 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     total = reps.agg(F.sum("n")).first()[0] or 0
     classes = _frequent(texts, width, total, rare, many, most_frequent)
-    shared = stored(_shared(_keys(texts, classes, width, percent)), "shared")
-    star = shared.where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    tested = stored(_survivors(star, reps, percent), "pairs")
-    links = _confirmed(tested, reps, texts, width, percent)
+    keys = stored(_keys(texts, classes, width, percent), "keys")
+    closed, wide = _closed_groups(keys, percent), stored(_open_members(keys), "open-members")
+
+    def sized(pairs: DataFrame) -> DataFrame:  # the smaller first
+        return pairs.where((F.col("a") < F.col("b")) & (_size("a") * 100 >= _size("b") * percent)).select("a", "b").distinct()
 
+    star = sized(closed.select(F.get("nodes", F.lit(0)).alias("a"), F.explode("nodes").alias("b"))
+                 .union(wide.select(F.col("lead").alias("a"), F.col("node").alias("b"))))
+    tested = stored(star, "pairs")
+    links = _confirmed(stored(_survivors(tested, reps, percent), "pairs"), reps, texts, width, percent)
     groups = stored(connected_components(links), "components")
-    wide = shared.groupBy("key").agg(F.count("*").alias("members")).where("members > 2")  # of two, the pair was tested
-    named = (shared.join(wide, "key").join(groups, "node", "left")
-             .select("key", "members", "node", F.coalesce("component", "node").alias("component")))
-    unsettled = (named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+
+    def named(members: DataFrame) -> DataFrame:
+        return members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    few = stored(named(closed.where(F.size("nodes") > 2).select("group", F.explode("nodes").alias("node"))), "members")  # of two, the pair was tested
+    left, right = (few.select("group", F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    apart = sized(left.join(right, "group").where("ca != cb"))  # RARE members of a group at most
+    many_members = named(wide.select("key", "members", "node"))
+    unsettled = (many_members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .where("low != high").select("key"))
-    blocks = stored(named.join(unsettled, "key", "left_semi").join(reps.select("node", "n", "sketch"), "node")
+    blocks = stored(many_members.join(unsettled, "key", "left_semi").join(reps.select("node", "n", "sketch"), "node")
                     .withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)).cast("int"))
                     .groupBy("key", "block").agg(F.collect_list(F.struct("node", "component", "n", "sketch")).alias("own")), "blocks")
     found = stored(_block_pairs(blocks, percent), "pairs")
-    fresh = found.where("key is null").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    more = _confirmed(stored(fresh, "pairs"), reps, texts, width, percent)
+    fresh = apart.union(found.where("key is null").select("a", "b")).distinct().join(tested, ["a", "b"], "left_anti")
+    more = _confirmed(stored(_survivors(fresh, reps, percent), "pairs"), reps, texts, width, percent)
     dense = found.where("key is not null").select("key", "x", "y")
     if not dense.isEmpty():
         more = more.union(_dense_links(dense, blocks, reps, texts, width, percent))
