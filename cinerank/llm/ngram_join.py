@@ -41,6 +41,8 @@ MAX_FREQUENT = 2_000_000
 SKETCH_BITS = 1024
 COUNTED_AT_ONCE, BUCKET_TOKENS = 1 << 20, 1 << 21
 BLOCK, CELL, DENSE = 256, 64, 4
+#: Keys by which a pair's members see that they meet elsewhere too; with more of them a pair may be looked at again.
+KEYS_KNOWN = 64
 BROADCAST_ROWS = 1_000_000
 _PART = 0x100000001B3
 
@@ -337,21 +339,37 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int,
     return stored(met.mapInArrow(run, "u binary, v binary"), "links")
 
 
-def _plausible(left: tuple, right: tuple, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of two blocks ``(component, n, sketch)`` that are in different components and may link."""
+def _met_before(left: list[np.ndarray], right: list[np.ndarray], key: int) -> np.ndarray:
+    """Which pairs of members also share a smaller key, in whose blocks they meet."""
+    places: dict[int, int] = {}
+    for own in left:
+        for k in own[own < key].tolist():
+            places.setdefault(k, len(places))
+    marks = [np.zeros((len(side), len(places)), np.float32) for side in (left, right)]
+    for mark, side in zip(marks, (left, right)):
+        for i, own in enumerate(side):
+            mark[i, [places[k] for k in own[own < key].tolist() if k in places]] = 1
+    return marks[0] @ marks[1].T > 0
+
+
+def _plausible(left: dict, right: dict, same: bool, key: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of two blocks that are in different components, may link and do not share a smaller key."""
+    met = _met_before(left["keys"], right["keys"], key)
     found = [[], []]
-    for i in range(len(left[1])):
-        other = np.flatnonzero((right[0] != left[0][i]).any(axis=1))
+    for i in range(len(left["n"])):
+        other = np.flatnonzero((right["component"] != left["component"][i]).any(axis=1) & ~met[i])
         other = other[other > i] if same else other
-        other = other[may_link(left[1][i], right[1][other], left[2][i], right[2][other], percent)]
+        other = other[may_link(left["n"][i], right["n"][other], left["sketch"][i], right["sketch"][other], percent)]
         found[0].append(np.full(len(other), i))
         found[1].append(other)
     return tuple(np.concatenate(f).astype(np.int64) if f else np.zeros(0, np.int64) for f in found)
 
 
-def _side(block: pa.Array) -> tuple[list, tuple]:
-    """The nodes of a block, and their components, sizes and sketches."""
-    return block.field("node").to_pylist(), (_matrix(block.field("component")), block.field("n").to_numpy(), _matrix(block.field("sketch")))
+def _side(block: pa.Array) -> dict:
+    keys = block.field("keys")
+    return {"node": block.field("node").to_pylist(), "n": block.field("n").to_numpy(),
+            "keys": np.split(keys.flatten().to_numpy(), np.cumsum(pc.list_value_length(keys).to_numpy())[:-1]),
+            **{c: _matrix(block.field(c)) for c in ("component", "sketch")}}
 
 
 def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
@@ -363,12 +381,12 @@ def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 key, x, y = (batch.column(c)[row].as_py() for c in ("key", "x", "y"))
-                (il, left), (ir, right) = (_side(batch.column(c)[row].values) for c in ("left", "right"))
-                i, j = _plausible(left, right, x == y, percent)
-                if len(i) > DENSE * (len(il) + len(ir)):
+                left, right = (_side(batch.column(c)[row].values) for c in ("left", "right"))
+                i, j = _plausible(left, right, x == y, key, percent)
+                if len(i) > DENSE * (len(left["n"]) + len(right["n"])):
                     columns = [[None], [None], [key], [x], [y]]
                 else:
-                    pairs = [sorted((il[a], ir[b])) for a, b in zip(i, j)]
+                    pairs = [sorted((left["node"][a], right["node"][b])) for a, b in zip(i, j)]
                     columns = [[p[0] for p in pairs], [p[1] for p in pairs], *[[None] * len(pairs)] * 3]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                     columns, (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32()))], ["a", "b", "key", "x", "y"])
@@ -383,19 +401,19 @@ def _dense_links(dense: DataFrame, blocks: DataFrame, reps: DataFrame, texts: Da
     full = _full_sets(own.select("node"), reps, texts, width)
     cells = stored(own.join(full, "node")
                    .groupBy("key", "block", F.pmod(F.xxhash64("node", F.lit(2)), F.lit(BLOCK // CELL)).cast("int").alias("cell"))
-                   .agg(F.collect_list(F.struct("node", "component", "n", "sketch", "tokens")).alias("own")), "cells")
+                   .agg(F.collect_list(F.struct("node", "component", "n", "sketch", "keys", "tokens")).alias("own")), "cells")
 
     def side(block: str, name: str) -> DataFrame:
         return cells.select("key", F.col("block").alias(block), F.col("cell").alias(f"c{block}"), F.col("own").alias(name))
 
     met = (dense.join(side("x", "left"), ["key", "x"]).join(side("y", "right"), ["key", "y"]).where("x < y or cx <= cy")
-           .select(F.expr("x = y and cx = cy").alias("same"), "left", "right"))
+           .select("key", F.expr("x = y and cx = cy").alias("same"), "left", "right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 blocks = [batch.column(c)[row].values for c in ("left", "right")]
-                (il, left), (ir, right) = map(_side, blocks)
+                left, right = map(_side, blocks)
                 tl, tr = ([np.frombuffer(x.as_buffer(), np.uint64) for x in b.field("tokens")] for b in blocks)
                 parent: dict = {}
 
@@ -405,11 +423,12 @@ def _dense_links(dense: DataFrame, blocks: DataFrame, reps: DataFrame, texts: Da
                     return x
 
                 links = []
-                for i, j in zip(*_plausible(left, right, batch.column("same")[row].as_py(), percent)):
-                    a, b = root(left[0][i].tobytes()), root(right[0][j].tobytes())
+                same, key = (batch.column(c)[row].as_py() for c in ("same", "key"))
+                for i, j in zip(*_plausible(left, right, same, key, percent)):
+                    a, b = root(left["component"][i].tobytes()), root(right["component"][j].tobytes())
                     if a != b and linked(tl[i], tr[j], percent):
                         parent[b] = a
-                        links.append((il[i], ir[j]))
+                        links.append((left["node"][i], right["node"][j]))
                 yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.binary()) for k in (0, 1)], ["u", "v"])
 
     return stored(met.mapInArrow(run, "u binary, v binary"), "links")
@@ -455,9 +474,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     many_members = named(wide.select("key", "members", "node"))
     unsettled = (many_members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .where("low != high").select("key"))
-    blocks = stored(many_members.join(unsettled, "key", "left_semi").join(reps.select("node", "n", "sketch"), "node")
+    left_over = stored(many_members.join(unsettled, "key", "left_semi"), "members")
+    of_node = left_over.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, KEYS_KNOWN).alias("keys"))
+    blocks = stored(left_over.join(of_node, "node").join(reps.select("node", "n", "sketch"), "node")
                     .withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)).cast("int"))
-                    .groupBy("key", "block").agg(F.collect_list(F.struct("node", "component", "n", "sketch")).alias("own")), "blocks")
+                    .groupBy("key", "block").agg(F.collect_list(F.struct("node", "component", "n", "sketch", "keys")).alias("own")), "blocks")
     found = stored(_block_pairs(blocks, percent), "pairs")
     fresh = apart.union(found.where("key is null").select("a", "b")).distinct().join(tested, ["a", "b"], "left_anti")
     more = _confirmed(stored(_survivors(fresh, reps, percent), "pairs"), reps, texts, width, percent)
