@@ -1,7 +1,8 @@
 """Connected components by alternating large and small stars, as joins and grouped minima.
 
 A step writes its links to the shared folder: a lost executor costs one step, plans stay short, and no component
-passes through one task or the driver. Hubs are pre-aggregated by the minimum and split by the skew join.
+passes through one task or the driver. A node's minimum is taken per salt first, a hash of the other end, and the links find
+it by node and salt, so the links of a hub that most others lead to are dealt over ``SALTS`` keys.
 """
 
 from __future__ import annotations
@@ -11,6 +12,17 @@ from pyspark.sql import DataFrame, functions as F
 from cinerank.session import stored
 
 
+SALTS = 32
+
+
+def _least(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links with their salt, and ``(u, salt, m)``: the smallest ``v`` of every ``u``, for each salt that it has."""
+    salted = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    each = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    whole = each.groupBy("u").agg(F.min("m").alias("m"), F.collect_list("salt").alias("salts"))  # SALTS rows of a node at most
+    return salted, whole.select("u", "m", F.explode("salts").alias("salt"))
+
+
 def _links(df: DataFrame) -> DataFrame:
     return df.where(F.col("u") != F.col("v")).distinct()
 
@@ -18,14 +30,15 @@ def _links(df: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+    salted, least = _least(both)
+    return (salted.where("v > u").join(least, ["u", "salt"])
+            .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u != v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Links point to smaller nodes: link a node and its other smaller neighbours to the smallest of them."""
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    return _links(links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    salted, least = _least(links)
+    return _links(salted.join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
                   .union(least.select("u", F.col("m").alias("v"))))
 
 

@@ -43,6 +43,7 @@ COUNTED_AT_ONCE, BUCKET_TOKENS = 1 << 20, 1 << 21
 BLOCK, CELL, DENSE = 256, 64, 4
 #: Keys by which a pair's members see that they meet elsewhere too; with more of them a pair may be looked at again.
 KEYS_KNOWN = 64
+PAIRS_AT_ONCE = 1 << 16
 BROADCAST_ROWS = 1_000_000
 _PART = 0x100000001B3
 
@@ -325,7 +326,11 @@ def _full_sets(nodes: DataFrame, reps: DataFrame, texts: DataFrame, width: int)
     return stored(own.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+
+def _confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough, as links ``(u, v)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,36 +338,27 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int,
             stay = [linked(x, y, percent) for x, y in zip(left, right)]
             yield batch.select(["a", "b"]).filter(pa.array(stay, pa.bool_())).rename_columns(["u", "v"])
 
-    full = _full_sets(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))), reps, texts, width)
     left, right = (full.select(F.col("node").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
     return stored(met.mapInArrow(run, "u binary, v binary"), "links")
 
 
-def _met_before(left: list[np.ndarray], right: list[np.ndarray], key: int) -> np.ndarray:
-    """Which pairs of members also share a smaller key, in whose blocks they meet."""
-    places: dict[int, int] = {}
-    for own in left:
-        for k in own[own < key].tolist():
-            places.setdefault(k, len(places))
-    marks = [np.zeros((len(side), len(places)), np.float32) for side in (left, right)]
-    for mark, side in zip(marks, (left, right)):
-        for i, own in enumerate(side):
-            mark[i, [places[k] for k in own[own < key].tolist() if k in places]] = 1
-    return marks[0] @ marks[1].T > 0
-
-
 def _plausible(left: dict, right: dict, same: bool, key: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of two blocks that are in different components, may link and do not share a smaller key."""
-    met = _met_before(left["keys"], right["keys"], key)
-    found = [[], []]
-    for i in range(len(left["n"])):
-        other = np.flatnonzero((right["component"] != left["component"][i]).any(axis=1) & ~met[i])
-        other = other[other > i] if same else other
-        other = other[may_link(left["n"][i], right["n"][other], left["sketch"][i], right["sketch"][other], percent)]
-        found[0].append(np.full(len(other), i))
-        found[1].append(other)
-    return tuple(np.concatenate(f).astype(np.int64) if f else np.zeros(0, np.int64) for f in found)
+    """Places of the pairs of two blocks that are in different components, may link, and share no smaller key, in whose
+    blocks they meet as well."""
+    n, m = left["n"], right["n"]
+    component = np.unique(np.concatenate([left["component"], right["component"]]), axis=0, return_inverse=True)[1].reshape(-1)
+    apart = component[:len(n), None] != component[None, len(n):]
+    if same:
+        apart &= np.arange(len(n))[:, None] < np.arange(len(m))[None, :]
+    i, j = np.nonzero(apart & (np.minimum.outer(n, m) * 100 >= np.maximum.outer(n, m) * percent))
+    stay = [np.zeros(0, bool), *(may_link(n[i[k:k + PAIRS_AT_ONCE]], m[j[k:k + PAIRS_AT_ONCE]], left["sketch"][i[k:k + PAIRS_AT_ONCE]],
+                                          right["sketch"][j[k:k + PAIRS_AT_ONCE]], percent) for k in range(0, len(i), PAIRS_AT_ONCE))]
+    i, j = i[np.concatenate(stay)], j[np.concatenate(stay)]
+    smaller = [{k: frozenset(side["keys"][k][side["keys"][k] < key].tolist()) for k in np.unique(places).tolist()}
+               for side, places in ((left, i), (right, j))]
+    first = np.array([smaller[0][a].isdisjoint(smaller[1][b]) for a, b in zip(i.tolist(), j.tolist())], bool)
+    return i[first], j[first]
 
 
 def _side(block: pa.Array) -> dict:
@@ -394,11 +390,14 @@ def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
     return met.select("key", "x", "y", "left", "right").mapInArrow(run, "a binary, b binary, key long, x int, y int")
 
 
-def _dense_links(dense: DataFrame, blocks: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _of_blocks(dense: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The members of the blocks in ``(key, x, y)``."""
+    named = dense.select("key", F.explode(F.array("x", "y")).alias("block")).distinct()
+    return blocks.join(named, ["key", "block"]).select("key", "block", F.inline("own"))
+
+
+def _dense_links(dense: DataFrame, own: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links of the block pairs ``(key, x, y)``, as many as join components, with the full sets in cells of the blocks."""
-    own = (blocks.join(dense.select("key", F.explode(F.array("x", "y")).alias("block")).distinct(), ["key", "block"])
-           .select("key", "block", F.inline("own")))
-    full = _full_sets(own.select("node"), reps, texts, width)
     cells = stored(own.join(full, "node")
                    .groupBy("key", "block", F.pmod(F.xxhash64("node", F.lit(2)), F.lit(BLOCK // CELL)).cast("int").alias("cell"))
                    .agg(F.collect_list(F.struct("node", "component", "n", "sketch", "keys", "tokens")).alias("own")), "cells")
@@ -462,7 +461,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     star = sized(closed.select(F.get("nodes", F.lit(0)).alias("a"), F.explode("nodes").alias("b"))
                  .union(wide.select(F.col("lead").alias("a"), F.col("node").alias("b"))))
     tested = stored(star, "pairs")
-    links = _confirmed(stored(_survivors(tested, reps, percent), "pairs"), reps, texts, width, percent)
+    likely = stored(_survivors(tested, reps, percent), "pairs")
+    links = _confirmed(likely, _full_sets(_ends(likely), reps, texts, width), percent)
     groups = stored(connected_components(links), "components")
 
     def named(members: DataFrame) -> DataFrame:
@@ -481,10 +481,14 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     .groupBy("key", "block").agg(F.collect_list(F.struct("node", "component", "n", "sketch", "keys")).alias("own")), "blocks")
     found = stored(_block_pairs(blocks, percent), "pairs")
     fresh = apart.union(found.where("key is null").select("a", "b")).distinct().join(tested, ["a", "b"], "left_anti")
-    more = _confirmed(stored(_survivors(fresh, reps, percent), "pairs"), reps, texts, width, percent)
+    likely = stored(_survivors(fresh, reps, percent), "pairs")
     dense = found.where("key is not null").select("key", "x", "y")
-    if not dense.isEmpty():
-        more = more.union(_dense_links(dense, blocks, reps, texts, width, percent))
+    if dense.isEmpty():
+        more = _confirmed(likely, _full_sets(_ends(likely), reps, texts, width), percent)
+    else:
+        own = stored(_of_blocks(dense, blocks), "members")
+        full = _full_sets(_ends(likely).union(own.select("node")), reps, texts, width)
+        more = _confirmed(likely, full, percent).union(_dense_links(dense, own, full, percent))
     if not more.isEmpty():  # stars of the components so far, and what joins them
         groups = stored(connected_components(groups.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more)), "components")
 
