@@ -17,7 +17,7 @@ from cinerank.plans import content, documents, latent, realtime, statistics
 from cinerank.session import stored, work_dir
 from cinerank.sources import delimited, fixtures, tables
 from cinerank.streaming import recommend, source
-from cinerank.streaming.recent import recent_per_user
+from cinerank.streaming.recent import update_recent
 
 Query = Callable[[SparkSession, str], DataFrame]
 _GRIDS: dict[tuple[str, str], DataFrame] = {}
@@ -197,10 +197,14 @@ def stream_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "recent")
 
     def run(events: DataFrame) -> None:
-        (recent_per_user(events).writeStream.outputMode("update")
-         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
-         .foreachBatch(lambda batch, n: tables.put_batch(batch, f"{root}/out/triggers", n))
-         .start().awaitTermination())
+        (events.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+         .foreachBatch(lambda batch, n: put(batch, n)).start().awaitTermination())
+
+    def put(batch: DataFrame, n: int) -> None:
+        kept: list[DataFrame] = []
+        update_recent(batch, f"{root}/out/recent", n, 8, lambda df: kept.append(df.persist()) or kept[-1])
+        for df in kept:
+            df.unpersist()
 
     _arrivals(spark, sf_dir, root, run)
     recent = recommend.current_recent(spark, f"{root}/out")
@@ -307,11 +311,11 @@ def _run_stream(spark: SparkSession, sf_dir: str) -> str:
     """The whole stream over all ratings; returns its output folder."""
     root = work_dir(spark, "stream")
     recommend.write_rated(realtime.rated_movies(fixtures.ratings(spark, sf_dir)), f"{root}/rated", rows_per_bucket=10_000)
-    _content(spark, sf_dir).save(f"{root}/similarity")
+    _content(spark, sf_dir).save(f"{root}/similarity", rows_per_bucket=10_000)
 
     def run(events: DataFrame) -> None:
         recommend.start(events, f"{root}/similarity", f"{root}/rated", f"{root}/out", f"{root}/checkpoint",
-                        {"availableNow": True}).awaitTermination()
+                        {"availableNow": True}, user_buckets=8).awaitTermination()
 
     _arrivals(spark, sf_dir, root, run)
     return f"{root}/out"

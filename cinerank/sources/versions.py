@@ -39,10 +39,13 @@ def publish(spark: SparkSession, version: str) -> None:
         fs.delete(make(old.rsplit("/", 1)[0]), True)
 
 
+def published(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Folder and note of every version that counts, the current one last."""
+    folders = [p.rsplit("/", 1)[0] for p in listed(spark, f"{path}/v-*/{_MARKER}")]
+    return [(folder, folder.rsplit("-", 1)[1]) for folder in folders]
+
+
 def current(spark: SparkSession, path: str) -> tuple[str, str] | None:
     """Folder and note of the current version."""
-    found = listed(spark, f"{path}/v-*/{_MARKER}")
-    if not found:
-        return None
-    folder = found[-1].rsplit("/", 1)[0]
-    return folder, folder.rsplit("-", 1)[1]
+    found = published(spark, path)
+    return found[-1] if found else None
