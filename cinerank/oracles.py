@@ -171,10 +171,11 @@ SELECT u.uid, count(s.mid)::INT AS n_recs
 FROM (SELECT DISTINCT uid FROM ratings) u LEFT JOIN scored s ON s.uid = u.uid GROUP BY u.uid""",
     "train_test_split": f"WITH {_RATINGS}, {_SPLIT} SELECT uid, mid, score, \"timestamp\", side FROM split",
     "als_user_recs": f"""WITH {_RATINGS}
-SELECT DISTINCT uid, n AS n_recs, n AS n_movies, true AS best_first, true AS positive, true AS scores_are_products
-FROM ratings, (SELECT least(20, count(DISTINCT mid)) AS n FROM ratings)""",
+SELECT DISTINCT uid, 0::BIGINT AS wrong_places, 0::BIGINT AS repeated, 0::BIGINT AS listed_seen FROM ratings""",
+    "als_user_recs_unseen": f"""WITH {_RATINGS}
+SELECT DISTINCT uid, 0::BIGINT AS wrong_places, 0::BIGINT AS repeated, 0::BIGINT AS listed_seen FROM ratings""",
     "als_movie_recs": f"""WITH {_RATINGS}
-SELECT DISTINCT mid, 0::BIGINT AS self_pairs, 0::BIGINT AS asymmetric, 0::BIGINT AS low, 0::BIGINT AS rank_gaps FROM ratings""",
+SELECT DISTINCT mid, 0::BIGINT AS missing, 0::BIGINT AS extra, 0::BIGINT AS rank_gaps FROM ratings""",
     "als_grid_search": f"""WITH {_RATINGS}, {_SPLIT}
 SELECT rank, "lambda", (SELECT count(*) FROM split WHERE side = 'training') AS training_rows,
        (SELECT count(*) FROM split WHERE side = 'test') AS test_rows, true AS has_error, true AS best_is_lowest

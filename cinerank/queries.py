@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from cinerank import schemas
@@ -213,35 +214,53 @@ def stream_recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every user's list, checked: its length, distinct movies, order, signs, and scores against the factors."""
-    model = latent.train(fixtures.ratings(spark, sf_dir))
-    recs = unpack_recs(latent.user_recs(model), "uid")
-    users = model.userFactors.select(F.col("id").alias("uid"), F.col("features").alias("u"))
-    movies = model.itemFactors.select(F.col("id").alias("mid"), F.col("features").alias("m"))
-    dot = F.aggregate(F.zip_with("u", "m", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda total, x: total + x)
-    scored = recs.join(users, "uid").join(movies, "mid").withColumn("exact", F.abs(F.col("score") - dot) < 1e-4)
-    better = F.lag("score").over(W.partitionBy("uid").orderBy("rank"))
-    checked = scored.withColumn("fall", F.coalesce(better >= F.col("score"), F.lit(True)))
-    return checked.groupBy("uid").agg(
-        F.count("*").alias("n_recs"), F.countDistinct("mid").alias("n_movies"), F.every("fall").alias("best_first"),
-        F.every(F.col("score") > 0).alias("positive"), F.every("exact").alias("scores_are_products"))
+    """Every user's list beside the one that the library's own product of all pairs gives."""
+    model = _model(spark, sf_dir)
+    return _lists_checked(latent.user_recs(model), model.recommendForAllUsers(latent.MAX_RECS), None)
+
+
+def als_user_recs_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists without the movies a user has rated, beside those cut from the product of all pairs."""
+    model, seen = _model(spark, sf_dir), fixtures.ratings(spark, sf_dir).select("uid", "mid").distinct()
+    longest = seen.groupBy("uid").count().agg(F.max("count")).first()[0]
+    return _lists_checked(latent.user_recs(model, exclude_seen=seen), model.recommendForAllUsers(latent.MAX_RECS + longest), seen)
+
+
+def _lists_checked(recs: DataFrame, whole: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """Per user how long the list should be, how many places miss or differ in score from the longer list, and how many are seen."""
+    wanted = whole.select("uid", F.inline("recommendations")).where("rating > 0")
+    if seen is not None:
+        wanted = wanted.join(seen, ["uid", "mid"], "left_anti")
+    first = W.partitionBy("uid").orderBy(F.desc("rating"), "mid")
+    wanted = wanted.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= latent.MAX_RECS).select("uid", "rank", "rating")
+    got = unpack_recs(recs, "uid")
+    distinct = got.groupBy("uid").agg((F.count("*") - F.countDistinct("mid")).alias("repeated"))
+    known = got if seen is None else got.join(seen, ["uid", "mid"], "left_semi")
+    listed = known.groupBy("uid").agg(F.count("*").alias("listed_seen")) if seen is not None else None
+    wrong = ~F.coalesce(F.abs(F.col("score") - F.col("rating")) < 1e-4, F.lit(False))
+    out = (wanted.join(got.select("uid", "rank", "score"), ["uid", "rank"], "full").groupBy("uid")
+           .agg(F.count_if(wrong).alias("wrong_places")).join(distinct, "uid", "left"))
+    out = out if listed is None else out.join(listed, "uid", "left")
+    return out.select("uid", "wrong_places", F.coalesce("repeated", F.lit(0).cast("long")).alias("repeated"),
+                      (F.lit(0).cast("long") if listed is None else F.coalesce("listed_seen", F.lit(0).cast("long"))).alias("listed_seen"))
 
 
 def als_movie_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every rated movie's list, checked: pairs with itself or without their mirror, low scores and gaps in the ranks."""
-    ratings = fixtures.ratings(spark, sf_dir)
-    recs = stored(latent.movie_recs(latent.train(ratings)), "movie-recs")
-    mirror = recs.select(F.col("rec_mid").alias("mid"), F.col("mid").alias("rec_mid"), F.col("score").alias("back"))
+    """Every rated movie's list, checked: pairs that the product of all blocks has and the list has not, or the other way
+    round, and gaps in the ranks."""
+    model = _model(spark, sf_dir)
+    recs = latent.movie_recs(model)
+    whole = latent.similar_movies(model.itemFactors, pruned=False).withColumnRenamed("score", "exact")
     gap = F.col("rank") - F.coalesce(F.lag("rank").over(W.partitionBy("mid").orderBy("rank")), F.lit(0)) != 1
-    checked = recs.join(mirror, ["mid", "rec_mid"], "left").withColumn("gap", gap)
 
     def count(condition: Column) -> Column:
         return F.count_if(F.coalesce(condition, F.lit(False)))
 
-    return ratings.select("mid").distinct().join(checked, "mid", "left").groupBy("mid").agg(
-        count(F.col("mid") == F.col("rec_mid")).alias("self_pairs"),
-        count(F.col("rec_mid").isNotNull() & ~F.col("score").eqNullSafe(F.col("back"))).alias("asymmetric"),
-        count(F.col("score") <= latent.MIN_SIMILARITY).alias("low"), count(F.col("gap")).alias("rank_gaps"))
+    compared = recs.withColumn("gap", gap).join(whole, ["mid", "rec_mid"], "full")
+    return model.itemFactors.select(F.col("id").alias("mid")).join(compared, "mid", "left").groupBy("mid").agg(
+        count(F.col("exact").isNotNull() & F.col("score").isNull()).alias("missing"),
+        count(F.col("score").isNotNull() & (F.col("exact").isNull() | (F.abs(F.col("score") - F.col("exact")) > 1e-8))).alias("extra"),
+        count(F.col("gap")).alias("rank_gaps"))
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +299,7 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
     genre_tfidf, genre_tfidf_exact, content_movie_recs, content_movie_recs_exact, embedding_similarity, log_filter,
     rating_event_parse, log_copy_streaming, rejected_events, user_recent_ratings, unrated_candidates, recent_similarity,
     stream_recs_replay, user_rec_list_sizes, stream_recs_streaming, stream_recent_ratings, als_user_recs,
-    als_movie_recs, train_test_split, als_grid_search, als_best_parameters, rmse_exact,
+    als_user_recs_unseen, als_movie_recs, train_test_split, als_grid_search, als_best_parameters, rmse_exact,
 )}
 
 
@@ -292,6 +311,13 @@ def _content(spark: SparkSession, sf_dir: str, **vocabulary) -> ItemSimilarity:
     return content.content_similarity(fixtures.movies(spark, sf_dir), **vocabulary)
 
 
+def _model(spark: SparkSession, sf_dir: str) -> ALSModel:
+    """The product's model, trained anew and read back from its store."""
+    path = work_dir(spark, "model")
+    latent.save_model(latent.train(fixtures.ratings(spark, sf_dir)), path)
+    return latent.load_model(spark, path)
+
+
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The search runs once per application and tables; its queries read the stored result."""
     key = (spark.sparkContext.applicationId, sf_dir)
