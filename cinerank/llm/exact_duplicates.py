@@ -1,14 +1,14 @@
 """Exact duplicates by an extendible-hash index on shared files, in DataFrame operations only.
 
-The index has one entry per distinct text: its hash, the smallest id, the number of copies and a checksum. Entries come
-from grouping by hash *and text*: copies collapse in the map tasks, and the owner of a key compares bytes, so texts with
-equal hashes stay apart. A bucket is a hash prefix. While a bucket holds more than ``capacity`` entries its prefix grows;
-a prefix longer than the directory's depth doubles the directory. A bucket whose entries all have one hash cannot be split
-and is a chain. The directory and the index, clustered by bucket, are Parquet files in the shared folder; what an
-owner task reads is a range of buckets.
-
-Documents look up their hash. Only in a chain with several texts must the bytes decide once more, and only there are
-texts read again.
+A bucket is a hash prefix. While a bucket holds more than ``capacity`` hashes its prefix grows; a prefix longer than the
+directory's depth doubles the directory. A bucket with a single hash cannot be split. Every text finds its bucket in the
+directory, copies are combined on the way, per salt of their ids, and the bucket's owner, a task with a range of buckets, gets
+what is left: it chains the texts of one hash, compares their bytes, and adds up what is equal. Its entries, one per
+distinct text with the smallest id, the number of copies and a checksum, are the index, Parquet files in order of
+bucket and hash beside the directory.
+
+A document looks its hash up in its bucket. Only in a chain with several texts must the bytes decide once more, and only
+there are texts read again.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cinerank.session import stored
 
 CAPACITY = 4096
+SALTS = 8
+BROADCAST_BUCKETS = 200_000
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -50,49 +52,60 @@ def directory(entries: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame,
         depth += 1
 
 
-def build_index(docs: DataFrame, hashed: Column | None = None, capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
+def _in_buckets(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``rows`` with the ``bucket`` that the directory has for their ``hash``; rows it has none for are not found."""
+    depths = sorted(r[0] for r in buckets.select("depth").distinct().collect())  # at most 64 numbers
+    if not depths:
+        return rows.withColumn("bucket", F.struct(F.col("hash").alias("prefix"), F.lit(0).alias("depth"))).limit(0)
+    named = buckets.select(F.struct("prefix", "depth").alias("bucket"))
+    if buckets.count() <= BROADCAST_BUCKETS:  # a larger directory meets the rows in a shuffle
+        named = F.broadcast(named)
+    places = F.array(*[F.struct(_prefix(d).cast("long").alias("prefix"), F.lit(d).alias("depth")) for d in depths])
+    return rows.withColumn("bucket", F.explode(places)).join(named, "bucket")
+
+
+def build_index(docs: DataFrame, hashed: Column | None = None, capacity: int = CAPACITY,
+                hashes: DataFrame | None = None, buckets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The index and its directory, for ``docs(id, text)`` with normalised text.
 
     Index rows: ``bucket`` (prefix and depth), ``hash``, ``chain`` (texts of that hash), ``keep_id``, ``group_size``,
-    ``text_sha256``.
+    ``text_sha256``. ``hashes`` has the hashes of the texts, if they are known; ``buckets`` replaces the directory.
     """
     key = F.xxhash64("text") if hashed is None else hashed
-    entries = stored(docs.groupBy(key.alias("hash"), "text").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
-                     .select("hash", "keep_id", "group_size", F.sha2("text", 256).alias("text_sha256")), "entries")
-    buckets, deepest = directory(entries, capacity)
-    depths = sorted(r[0] for r in buckets.select("depth").distinct().collect())  # at most 64 numbers
-    found = None
-    for depth in depths:
-        here = buckets.where(F.col("depth") == depth).select("prefix", "depth")
-        own = entries.withColumn("prefix", _prefix(depth)).join(here, "prefix")
-        found = own if found is None else found.union(own)
-    if found is None:
-        found = entries.select("hash", "keep_id", "group_size", "text_sha256").withColumn("prefix", F.col("hash")).withColumn("depth", F.lit(0))
-    chains = F.count("*").over(Window.partitionBy("prefix", "depth", "hash"))
-    index = found.select(F.struct("prefix", "depth").alias("bucket"), "hash", "keep_id", "group_size", "text_sha256",
-                         chains.alias("chain"))
-    return stored(index.repartitionByRange("bucket", "hash").sortWithinPartitions("bucket", "hash"), "index"), buckets
+    if buckets is None:
+        own = docs.select(key.alias("hash")) if hashes is None else hashes
+        buckets, _ = directory(stored(own.select("hash").distinct(), "hashes"), capacity)
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+    combined = (_in_buckets(docs.select("id", key.alias("hash"), "text"), buckets)
+                .groupBy("bucket", "hash", "text", salt.alias("salt")).agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size")))
+    # the owners: equal texts meet in the range of their bucket, and the range serves the chains as well
+    entries = (combined.repartitionByRange("bucket", "hash").groupBy("bucket", "hash", "text")
+               .agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+               .select("bucket", "hash", "keep_id", "group_size", F.sha2("text", 256).alias("text_sha256")))
+    chains = F.count("*").over(Window.partitionBy("bucket", "hash"))
+    return stored(entries.withColumn("chain", chains).sortWithinPartitions("bucket", "hash"), "index"), buckets
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hashed: Column | None = None,
-                     capacity: int = CAPACITY) -> DataFrame:
+                     capacity: int = CAPACITY, buckets: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` of the normalised text.
 
     Texts are equal when equal after every run of white space becomes one space; null is the empty text. The smallest
     id of a group stays; of rows that repeat an id and text, one; in a group with null ids only, one of those. Other
-    columns are not read. An empty table gives no rows. ``hashed`` is the hash of the column ``text``.
+    columns are not read. An empty table gives no rows. ``hashed`` is the hash of the column ``text``. With ``buckets``
+    that directory is used, and texts in none of its buckets are not found.
     """
     key = F.xxhash64("text") if hashed is None else hashed
     texts = docs.select(F.col(id_col).alias("id"), normalised(text_col).alias("text"))
-    index, _ = build_index(texts, hashed, capacity)
+    hashes = stored(texts.select("id", key.alias("hash")), "hashes")
+    index, buckets = build_index(texts, hashed, capacity, hashes, buckets)
     answer = ["id", "hash", "keep_id", "group_size", "text_sha256"]
-    found = texts.select("id", key.alias("hash")).join(index.where("chain = 1"), "hash").select(answer)
-    chained = stored(index.where("chain > 1").select("hash").distinct(), "chains")
+    found = _in_buckets(hashes, buckets).join(index.where("chain = 1"), ["bucket", "hash"]).select(answer)
+    chained = stored(index.where("chain > 1").select("bucket", "hash").distinct(), "chains")
     if not chained.isEmpty():
-        there = texts.withColumn("hash", key).join(chained, "hash", "left_semi")
-        whole = there.groupBy("hash", "text").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
-        found = found.union(there.join(whole, ["hash", "text"])
-                            .withColumn("text_sha256", F.sha2("text", 256)).select(answer))
+        there = (_in_buckets(texts.withColumn("hash", key), buckets).join(chained, ["bucket", "hash"], "left_semi")
+                 .withColumn("text_sha256", F.sha2("text", 256)))
+        found = found.union(there.join(index.where("chain > 1"), ["bucket", "hash", "text_sha256"]).select(answer))
     found = stored(found, "found")
     again = Window.partitionBy("hash", "text_sha256", "id").orderBy("id")
     return found.select(

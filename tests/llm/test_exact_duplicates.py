@@ -47,6 +47,18 @@ def test_buckets_split_until_they_fit(spark):
         assert not any(o is not r and o["depth"] > r["depth"] and o["prefix"] >> (o["depth"] - r["depth"]) == r["prefix"] for o in rows)
 
 
+def test_the_directory_decides(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 100).alias("text"))
+    _, buckets = build_index(docs.select(F.col("doc_id").alias("id"), "text"), capacity=20)
+    whole = exact_duplicates(docs, capacity=20, buckets=buckets)
+    assert got(whole) == got(exact_duplicates(docs)) and whole.count() == 400
+    lost = buckets.orderBy("prefix").limit(1).collect()[0]
+    broken = exact_duplicates(docs, buckets=buckets.where((F.col("prefix") != lost.prefix) | (F.col("depth") != lost.depth)))
+    assert broken.count() == 400 - 4 * lost.entries < 400
+    moved = exact_duplicates(docs, buckets=buckets.withColumn("prefix", F.col("prefix") + 1))
+    assert moved.count() < 400
+
+
 def test_one_hash_is_a_chain(spark):
     entries = spark.range(100).select(F.lit(7).cast("long").alias("hash"))
     assert [r["entries"] for r in directory(entries, capacity=10)[0].collect()] == [100]
