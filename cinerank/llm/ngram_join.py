@@ -285,7 +285,7 @@ def _open_members(keys: DataFrame) -> DataFrame:
     prints = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1)]
     alike = (wide.groupBy("key").agg(F.count("*").alias("members"), *prints).where("members > 1")
              .groupBy("members", "x0", "x1").agg(F.min("key").alias("key")).select("key", "members"))
-    own = stored(wide.join(alike, "key").withColumn("size_class", size_class), "open-members")
+    own = wide.join(alike, "key").withColumn("size_class", size_class)
     leads = own.groupBy("key", "size_class").agg(F.min("node").alias("lead"))
     return own.join(leads, ["key", "size_class"])
 
