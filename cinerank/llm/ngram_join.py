@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,7 @@ RARE, MANY = 32, 512
 MAX_FREQUENT = 2_000_000
 SKETCH_BITS = 1024
 COUNTED_AT_ONCE, BUCKET_TOKENS = 1 << 20, 1 << 21
-BLOCK, CELL, DENSE = 256, 64, 4
+BLOCK, CELL, DENSE, TILE = 256, 64, 4, 8
 #: Keys by which a pair's members see that they meet elsewhere too; with more of them a pair may be looked at again.
 KEYS_KNOWN = 64
 PAIRS_AT_ONCE = 1 << 16
@@ -351,49 +351,102 @@ def _plausible(left: dict, right: dict, same: bool, key: int, percent: int) -> t
     apart = component[:len(n), None] != component[None, len(n):]
     if same:
         apart &= np.arange(len(n))[:, None] < np.arange(len(m))[None, :]
-    i, j = np.nonzero(apart & (np.minimum.outer(n, m) * 100 >= np.maximum.outer(n, m) * percent))
+    apart &= np.minimum.outer(n, m) * 100 >= np.maximum.outer(n, m) * percent
+    i, j = np.nonzero(apart & ~_meet_before(left["keys"], right["keys"], key)) if apart.any() else np.nonzero(apart)
     stay = [np.zeros(0, bool), *(may_link(n[i[k:k + PAIRS_AT_ONCE]], m[j[k:k + PAIRS_AT_ONCE]], left["sketch"][i[k:k + PAIRS_AT_ONCE]],
                                           right["sketch"][j[k:k + PAIRS_AT_ONCE]], percent) for k in range(0, len(i), PAIRS_AT_ONCE))]
-    i, j = i[np.concatenate(stay)], j[np.concatenate(stay)]
-    smaller = [{k: frozenset(side["keys"][k][side["keys"][k] < key].tolist()) for k in np.unique(places).tolist()}
-               for side, places in ((left, i), (right, j))]
-    first = np.array([smaller[0][a].isdisjoint(smaller[1][b]) for a, b in zip(i.tolist(), j.tolist())], bool)
-    return i[first], j[first]
+    stay = np.concatenate(stay)
+    return i[stay], j[stay]
+
+
+def _meet_before(left: list[np.ndarray], right: list[np.ndarray], key: int) -> np.ndarray:
+    """Which members of two blocks share a key smaller than ``key``."""
+    flat = [np.concatenate(side) for side in (left, right)]
+    row = [np.repeat(np.arange(len(side)), list(map(len, side))) for side in (left, right)]
+    known = np.intersect1d(*flat)
+    known = known[known < key]
+    holds = []
+    for keys, rows, side in zip(flat, row, (left, right)):
+        own = np.isin(keys, known)
+        matrix = np.zeros((len(side), len(known)), np.float32)
+        matrix[rows[own], np.searchsorted(known, keys[own])] = 1
+        holds.append(matrix)
+    return holds[0] @ holds[1].T > 0
+
+
+def _packed(blocks: DataFrame) -> DataFrame:
+    """The members ``own`` of each block as one byte string, as nested values are slow to hand to Python for every pair of blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for k in range(batch.num_rows):
+                members = pa.RecordBatch.from_struct_array(batch.column("own")[k].values)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, members.schema) as out:
+                    out.write_batch(members)
+                packed.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "block", "blocks")), pa.array(packed, pa.binary())],
+                                             ["key", "block", "blocks", "own"])
+
+    return blocks.select("key", "block", "blocks", "own").mapInArrow(run, "key long, block int, blocks int, own binary")
+
+
+def _unpacked(packed: pa.BinaryScalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
 
 
-def _side(block: pa.Array) -> dict:
-    keys = block.field("keys")
-    return {"node": block.field("node").to_pylist(), "n": block.field("n").to_numpy(),
+def _side(block: pa.RecordBatch) -> dict:
+    keys = block.column("keys")
+    return {"node": block.column("node").to_pylist(), "n": block.column("n").to_numpy(),
             "keys": np.split(keys.flatten().to_numpy(), np.cumsum(pc.list_value_length(keys).to_numpy())[:-1]),
-            **{c: _matrix(block.field(c)) for c in ("component", "sketch")}}
+            **{c: _matrix(block.column(c)) for c in ("component", "sketch")}}
 
 
 def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` that may link, or the ``(key, x, y)`` of two blocks that leave far more pairs than members."""
-    met = (blocks.select("key", F.col("block").alias("x"), F.col("own").alias("left"))
-           .join(blocks.select("key", F.col("block").alias("y"), F.col("own").alias("right")), "key").where("x <= y"))
+    """Pairs ``(a, b)`` that may link, or the ``(key, x, y)`` of two blocks that leave far more pairs than members.
+
+    The blocks of a key meet in tiles of bounded size, one for any two runs of ``TILE`` blocks, so tiles of a hot key lie in
+    many tasks. Up to ``TILE`` blocks are one tile and move once."""
+    tile = F.floor(F.col("block") / TILE)
+    tiles = (blocks.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("blocks") - 1) / TILE))))
+             .groupBy("key", F.least(tile, "other").alias("low"), F.greatest(tile, "other").alias("high"))
+             .agg(F.collect_list(F.struct("block", "own")).alias("members")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                key, x, y = (batch.column(c)[row].as_py() for c in ("key", "x", "y"))
-                left, right = (_side(batch.column(c)[row].values) for c in ("left", "right"))
-                i, j = _plausible(left, right, x == y, key, percent)
-                if len(i) > DENSE * (len(left["n"]) + len(right["n"])):
-                    columns = [[None], [None], [key], [x], [y]]
-                else:
-                    pairs = [sorted((left["node"][a], right["node"][b])) for a, b in zip(i, j)]
-                    columns = [[p[0] for p in pairs], [p[1] for p in pairs], *[[None] * len(pairs)] * 3]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                    columns, (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32()))], ["a", "b", "key", "x", "y"])
-
-    return met.select("key", "x", "y", "left", "right").mapInArrow(run, "a binary, b binary, key long, x int, y int")
+                key, members = batch.column("key")[row].as_py(), batch.column("members")[row].values
+                sides = {x.as_py(): _side(_unpacked(own)) for x, own in zip(members.field("block"), members.field("own"))}
+                own_tile = batch.column("low")[row] == batch.column("high")[row]
+                for x, y in combinations_with_replacement(sorted(sides), 2):
+                    if own_tile or x // TILE != y // TILE:
+                        yield meet(key, x, y, sides[x], sides[y])
+
+    def meet(key: int, x: int, y: int, left: dict, right: dict) -> pa.RecordBatch:
+        i, j = _plausible(left, right, x == y, key, percent)
+        if len(i) > DENSE * (len(left["n"]) + len(right["n"])):
+            columns = [[None], [None], [key], [x], [y]]
+        else:
+            pairs = [sorted((left["node"][a], right["node"][b])) for a, b in zip(i, j)]
+            columns = [[p[0] for p in pairs], [p[1] for p in pairs], *[[None] * len(pairs)] * 3]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+            columns, (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32()))], ["a", "b", "key", "x", "y"])
+
+    return tiles.select("key", "low", "high", "members").mapInArrow(run, "a binary, b binary, key long, x int, y int")
 
 
 def _of_blocks(dense: DataFrame, blocks: DataFrame) -> DataFrame:
     """The members of the blocks in ``(key, x, y)``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                members = _unpacked(batch.column("own")[k])
+                place = [pa.repeat(batch.column(c)[k], members.num_rows) for c in ("key", "block")]
+                yield pa.RecordBatch.from_arrays([*place, *members.columns], ["key", "block", *members.schema.names])
+
     named = dense.select("key", F.explode(F.array("x", "y")).alias("block")).distinct()
-    return blocks.join(named, ["key", "block"]).select("key", "block", F.inline("own"))
+    return (blocks.join(named, ["key", "block"]).select("key", "block", "own")
+            .mapInArrow(run, "key long, block int, node binary, component binary, n long, sketch binary, keys array<long>"))
 
 
 def _dense_links(dense: DataFrame, own: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -412,7 +465,7 @@ def _dense_links(dense: DataFrame, own: DataFrame, full: DataFrame, percent: int
         for batch in batches:
             for row in range(batch.num_rows):
                 blocks = [batch.column(c)[row].values for c in ("left", "right")]
-                left, right = map(_side, blocks)
+                left, right = (_side(pa.RecordBatch.from_struct_array(b)) for b in blocks)
                 tl, tr = ([np.frombuffer(x.as_buffer(), np.uint64) for x in b.field("tokens")] for b in blocks)
                 parent: dict = {}
 
@@ -447,8 +500,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     able = rows.where("n > 0 and id is not null")
     reps = stored(able.groupBy("node").agg(F.min(F.struct("id", "t")).alias("row"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
                   .select("node", "row.id", "row.t", "n", "sketch"), "representatives")
-    copies = stored(rows.select("id", "t").join(reps.select("id", "t"), ["id", "t"], "left_anti").distinct(), "copies")
-    texts = _where_among(docs.where("id is not null and text is not null"), copies, ["id", "t"], "left_anti")
+    texts = _where_among(docs.where("id is not null and text is not null"), reps.select("id", "t"), ["id", "t"], "left_semi")
 
     total = reps.agg(F.sum("n")).first()[0] or 0
     classes = _frequent(texts, width, total, rare, many, most_frequent)
@@ -476,9 +528,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                  .where("low != high").select("key"))
     left_over = stored(many_members.join(unsettled, "key", "left_semi"), "members")
     of_node = left_over.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, KEYS_KNOWN).alias("keys"))
-    blocks = stored(left_over.join(of_node, "node").join(reps.select("node", "n", "sketch"), "node")
-                    .withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)).cast("int"))
-                    .groupBy("key", "block").agg(F.collect_list(F.struct("node", "component", "n", "sketch", "keys")).alias("own")), "blocks")
+    blocks = stored(_packed(left_over.join(of_node, "node").join(reps.select("node", "n", "sketch"), "node")
+                            .withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)).cast("int"))
+                            .groupBy("key", "block").agg(F.ceil(F.first("members") / BLOCK).cast("int").alias("blocks"),
+                                                         F.collect_list(F.struct("node", "component", "n", "sketch", "keys")).alias("own"))),
+                    "blocks")
     found = stored(_block_pairs(blocks, percent), "pairs")
     fresh = apart.union(found.where("key is null").select("a", "b")).distinct().join(tested, ["a", "b"], "left_anti")
     likely = stored(_survivors(fresh, reps, percent), "pairs")
