@@ -173,6 +173,17 @@ def _rows(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, t long, n long, node binary, sketch binary")
 
 
+def _as_gaps(rising: np.ndarray) -> bytes:
+    """Rising 32-bit numbers as their gaps, first all lowest bytes, then all second ones and so on: the upper bytes of
+    small gaps are zeros, which the shuffle's compression takes away."""
+    return np.diff(rising, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_gaps(gaps: pa.Buffer) -> np.ndarray:
+    gaps = np.ascontiguousarray(np.frombuffer(gaps, np.uint8).reshape(4, -1).T).reshape(-1).view("<u4")
+    return np.cumsum(gaps, dtype=np.uint32)
+
+
 def _frequent(texts: DataFrame, width: int, total: int, rare: int, many: int, most: int = MAX_FREQUENT) -> Classes:
     """Classes by the number of sets that hold a token, from all sets.
 
@@ -194,7 +205,7 @@ def _frequent(texts: DataFrame, width: int, total: int, rare: int, many: int, mo
             once, more = [], []
             for a, b in zip(begin, [*begin[1:], len(tokens)]):
                 single = n[a:b] == 1
-                once.append(low[a:b][single].tobytes())
+                once.append(_as_gaps(low[a:b][single]))
                 more.append(np.stack([low[a:b][~single], n[a:b][~single].astype(np.uint32)]).tobytes())
             return pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64)), pa.array(once), pa.array(more)], ["bucket", "once", "more"])
 
@@ -208,7 +219,7 @@ def _frequent(texts: DataFrame, width: int, total: int, rare: int, many: int, mo
             yield flush()
 
     def add(key: tuple, group: pa.Table) -> pa.Table:
-        once = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in group.column("once")])
+        once = np.concatenate([_from_gaps(x.as_buffer()) for x in group.column("once")])
         more = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32).reshape(2, -1) for x in group.column("more")], axis=1)
         tokens, at = np.unique(np.concatenate([once, more[0]]), return_inverse=True)
         df = np.bincount(at, np.concatenate([np.ones(len(once)), more[1]]), len(tokens)).astype(np.int64)

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -96,3 +97,18 @@ def test_empty_tables_and_long_words(spark):
         a, b = a + b, b + a
     docs = spark.createDataFrame([(1, a), (2, b), (3, a.upper())], "doc_id long, text string")
     assert sorted(r.component_id for r in answers(spark, docs)) == [1, 1, 2]
+
+
+def test_gaps_give_the_numbers_back():
+    for numbers in ([], [0], [7], [0, 1, 255, 256, 1 << 20, (1 << 32) - 1], sorted(set(range(3, 70_000, 13)))):
+        rising = np.array(numbers, np.uint32)
+        assert nj._from_gaps(pa.py_buffer(nj._as_gaps(rising))).tolist() == numbers
+    sparse = np.arange(0, 1 << 26, 4096, dtype=np.uint32)
+    assert nj._as_gaps(sparse)[2 * len(sparse):] == bytes(2 * len(sparse))
+
+
+def test_shared_smaller_keys_are_found():
+    rng = np.random.default_rng(5)
+    left, right = ([rng.choice(40, rng.integers(0, 12), replace=False) for _ in range(n)] for n in (9, 14))
+    want = [[any(k < 20 for k in set(a.tolist()) & set(b.tolist())) for b in right] for a in left]
+    assert nj._meet_before(left, right, 20).tolist() == want
