@@ -4,7 +4,7 @@ Every document expects ``target / source size`` copies. The expected copies are
 source, one random offset is added, and a document is emitted once per whole number its part of the sum crosses. Documents
 lie in order of size, so every stretch of sizes gives its share and the words taken come close to the target.
 
-Sums run over counts per (source, size), then per id class within it, then over rows, so neither a hot source nor a
+Sums run over counts per (source, size), then per hashed id class within it, then over rows, so neither a hot source nor a
 large group of equal sizes is summed in one task.
 """
 
@@ -64,14 +64,17 @@ def mix(docs: DataFrame, size: Column | None = None, seed: int = 0, weights: tup
 
     ``size`` is the number of words of ``text`` unless given; ``taken`` is copies times size. No document has more than
     ``most`` copies. Rows equal in source, size and id are interchangeable: which of them is taken is arbitrary, how
-    many are is not. A null source is a source of its own; a source without words has target and copies 0. An empty
-    table stays empty. Columns named like the added ones are replaced.
+    many are is not. Ids are of any type with an order; rows without one take their place by their other columns. A null
+    source is a source of its own; a source without words has target and copies 0. An empty table stays empty. Columns named
+    like the added ones are replaced.
     """
     added = {"size", "source_size", "target", "copies", "taken"}
     sized = docs.withColumn("size", word_count() if size is None else size.cast("long"))
     own = [c for c in docs.columns if c not in added]
     keys = ["source", "size", "class"]
-    cell = F.coalesce(F.pmod(F.col("doc_id"), F.lit(CLASSES)).cast("int"), F.lit(CLASSES))
+    # hashed, as ids of one source may have a common factor
+    digest = F.coalesce(F.md5(F.col("doc_id").cast("string")), F.md5(F.to_json(F.struct(*own))))
+    cell = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % CLASSES).cast("int")
     rows = sized.select(F.struct(*own).alias("row"), "source", "size", cell.alias("class"), "doc_id")
 
     counts = stored(sized.select("source", "size", cell.alias("class")).groupBy(keys).agg(F.count("*").alias("n")), "mix-counts")

@@ -76,7 +76,7 @@ WITH docs AS (
 ), placed AS (
     SELECT doc_id, size, source_size, target, first,
            coalesce(floor(target / nullif(source_size, 0) * 1e12), 0)::HUGEINT AS rate,
-           row_number() OVER (PARTITION BY source ORDER BY size, coalesce(((doc_id % 1024) + 1024) % 1024, 1024), doc_id) AS n
+           row_number() OVER (PARTITION BY source ORDER BY size, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 1024, doc_id) AS n
     FROM docs JOIN rates USING (source)
 )
 SELECT doc_id, size, source_size, target,
@@ -109,7 +109,8 @@ def _similar_sql(width: int, columns: str) -> str:
     return rf"""
 WITH RECURSIVE worded AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                      '[^ 	-]+') AS w FROM documents
+                                      '[^ 	-
+]+') AS w FROM documents
 ), shingled AS MATERIALIZED (
     SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
         range(1, greatest(len(w) - {width - 1}, 1) + 1), lambda k: array_to_string(w[k:k + {width - 1}], ' ')))) END AS tokens FROM worded
@@ -141,25 +142,14 @@ WITH rules(verdict, rule_host, rule_path) AS (
 ), parts AS (
     SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
-           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*[^?#]*\?([^#]*)', 1) AS query, url, coalesce(html, '') AS html
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
     FROM pages
-), kept AS (
-    SELECT *, list_filter(string_split(query, '&'),
-                          lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=.*)?$')) AS args FROM parts
-), rows AS (
-    SELECT page_id, host, path,
-           CASE WHEN host <> '' THEN host || regexp_replace(path, '/+$', '')
-                                     || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS node,
-           (SELECT arg_max({'verdict': verdict, 'rule': rule_host || rule_path}, length(rule_host || rule_path)) FROM rules
-            WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS fit
-    FROM kept
-), fate AS (  -- no page of the tables has a canonical link or a refresh, so nodes are the groups
-    SELECT node, CASE WHEN bool_or(fit.verdict = 'allow') THEN 'allow' ELSE 'block' END AS inherited
-    FROM rows WHERE node IS NOT NULL AND fit IS NOT NULL GROUP BY node
-)
-SELECT page_id, host, path, fit.rule AS rule, coalesce(fit.verdict, inherited, 'allow') AS verdict
-FROM rows LEFT JOIN fate USING (node)
+), judged AS (
+    SELECT *, (SELECT arg_max({'verdict': verdict, 'rule': rule_host || rule_path}, length(rule_host || rule_path)) FROM rules
+               WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS fit
+    FROM parts
+)  -- no page of the tables has a canonical link or a refresh, so nothing is inherited
+SELECT page_id, host, path, fit.rule AS rule, coalesce(fit.verdict, 'allow') AS verdict FROM judged
 """
 
 

@@ -5,10 +5,11 @@ canonical links, in any direction and over any number of steps, are one group, f
 blocks any member of the group, members without a rule are blocked too, unless a rule also allows a member explicitly: an
 explicit allow goes before an inherited block. A member's own rule always holds.
 
-Addresses that differ only in scheme, fragment, trailing slashes or tracking parameters are one node from the start.
+URLs that differ only in their fragment or the case of scheme and host are one node. On demand those that differ in scheme,
+trailing slashes or tracking parameters are too; such URLs may well have other content, so nothing is inherited over them unasked.
 Links come from ``<link rel=canonical>`` and ``<meta http-equiv=refresh>`` of a page, and from a table of redirects.
-All canonical links and refreshes of a page count, their targets with character references resolved. Targets count with
-their own rules even where no page has their URL.
+All canonical links and refreshes of a page count, their targets with character references resolved. Both ends of a link count
+with their own rules even where no page has their URL.
 """
 
 from __future__ import annotations
@@ -50,9 +51,15 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
     return fits
 
 
-def address(url: Column) -> Column:
-    """The node of a URL: host, path without trailing slashes, and the query without tracking parameters; else null."""
+def address(url: Column, alike: bool = False) -> Column:
+    """The node of a URL: scheme, host, path and query, or with ``alike`` host, path without trailing slashes and the query
+    without tracking parameters; null without a host."""
     query = F.regexp_extract(url, _PARTS, 3)
+    if not alike:
+        scheme = F.translate(F.regexp_extract(url, r"(?s)^(.*?)://", 1), _UPPER, _LOWER)
+        # an empty path is the root, as far as servers can tell
+        named = F.when(path(url) == "", "/").otherwise(path(url))
+        return F.when(host(url) != "", F.concat(scheme, F.lit("://"), host(url), named, query))
     kept = F.filter(F.split(F.substr(query, F.lit(2)), "&"), lambda x: (x != "") & ~x.rlike(_TRACKING))
     query = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
     return F.when(host(url) != "", F.concat(host(url), F.regexp_replace(path(url), "/+$", ""), query))
@@ -96,27 +103,28 @@ def page_links(url: Column, html: Column) -> Column:
 
 
 def judge(pages: DataFrame, redirects: DataFrame | None = None, rules=RULES, id_col: str = "page_id",
-          url_col: str = "url", html_col: str = "html") -> DataFrame:
+          url_col: str = "url", html_col: str = "html", alike: bool = False) -> DataFrame:
     """One row per row of ``pages``: the id, ``host``, ``path``, ``rule`` (or null) and ``verdict``.
 
-    ``redirects(url, target)`` adds links. A null URL or one without ``://`` has an empty host and path, no rule and no
-    aliases, and is allowed; null html has no links. Repeated rows keep their rows; other columns are not read; an
-    empty table gives no rows.
+    ``redirects(url, target)`` adds links; ``alike`` takes more URLs as one (see ``address``). A null URL or one without ``://``
+    has an empty host and path, no rule and no aliases, and is allowed; null html has no links. Ids may be null or repeat, as
+    they are only carried. Repeated rows keep their rows; other columns are not read; an empty table gives no rows.
     """
     url = F.col("url")
     seen = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    rows = stored(seen.select("id", "url", host(url).alias("host"), path(url).alias("path"), address(url).alias("node"),
+    rows = stored(seen.select("id", "url", host(url).alias("host"), path(url).alias("path"), address(url, alike).alias("node"),
                               page_links(url, F.col("html")).alias("targets"))
                   .withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules)), "urls")
-    links = rows.where("node is not null").select("node", F.explode("targets").alias("target"))
-    if redirects is not None:
-        links = links.union(redirects.select(address(F.col("url")).alias("node"), "target"))
+    links = rows.where("node is not null").select("node", F.explode("targets").alias("target"), F.lit(None).cast("string").alias("verdict"))
+    if redirects is not None:  # their sources need not be pages
+        rule = fitting_rule(host(url), path(url), rules)["verdict"]
+        links = links.union(redirects.select(address(url, alike).alias("node"), "target", rule.alias("verdict")))
     links = stored(links, "links")
     there = F.col("target")
-    targets = links.select(address(there).alias("node"), fitting_rule(host(there), path(there), rules)["verdict"].alias("verdict"))
-    groups = connected_components(links.select(F.col("node").alias("u"), address(there).alias("v")))
+    targets = links.select(address(there, alike).alias("node"), fitting_rule(host(there), path(there), rules)["verdict"].alias("verdict"))
+    groups = connected_components(links.select(F.col("node").alias("u"), address(there, alike).alias("v")))
 
-    decided = (rows.select("node", F.col("fit")["verdict"].alias("verdict")).union(targets)
+    decided = (rows.select("node", F.col("fit")["verdict"].alias("verdict")).union(targets).union(links.select("node", "verdict"))
                .where("node is not null and verdict is not null").distinct())
     named = groups.select("node", F.col("component").alias("group"))
     fate = (decided.join(named, "node", "left").groupBy(F.coalesce("group", "node").alias("group"))

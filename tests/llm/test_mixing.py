@@ -59,6 +59,19 @@ def test_reruns_agree_and_seeds_differ(spark):
     assert not one.exceptAll(other).isEmpty()
 
 
+def test_ids_of_any_type_or_none(spark):
+    text = spark.createDataFrame([(f"id-{k}" if k % 5 else None, "a b c", "s", {"k": k}) for k in range(200)],
+                                 "doc_id string, text string, source string, more map<string,int>")
+    out = mix(text)
+    assert out.count() == 200 and out.agg(F.sum("copies")).first()[0] == 300
+
+
+def test_ids_with_a_common_factor_lie_in_many_classes(spark):
+    docs = spark.range(0, 1024 * 500, 1024).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), F.lit("s").alias("source"))
+    plan = mix(docs)._jdf.queryExecution().analyzed().toString()
+    assert "md5" in plan and mix(docs).agg(F.sum("taken")).first()[0] == 1500
+
+
 def test_repeated_rows_and_empty_tables(spark):
     docs = documents(spark)
     mixed = mix(docs)

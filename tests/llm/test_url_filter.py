@@ -1,5 +1,6 @@
 from cinerank.llm.url_filter import judge
 
+
 def verdicts(spark, rows, redirects=None, **options):
     pages = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id long, url string, html string, rule string, node int")
     redirects = redirects and spark.createDataFrame(redirects, "url string, target string")
@@ -30,7 +31,7 @@ def test_blocks_pass_on_to_aliases_but_not_over_an_explicit_allow(spark):
         (9, "http://p.net/", None), (10, "http://dir.com/a/b.html", canonical.format("c.html")), (11, "http://dir.com/a/c.html", None),
         (12, None, canonical.format("http://p.net/")), (13, "http://six.com/", ""), (14, "http://self.com/", canonical.format("http://self.com/")),
     ]
-    got = verdicts(spark, rows, [("http://six.com", "http://blocked.net/6"), (None, "http://six.com"), ("http://dir.com/a/c.html", None)])
+    got = verdicts(spark, rows, [("http://six.com", "http://blocked.net/6"), (None, "http://six.com"), ("http://dir.com/a/c.html", None)], alike=True)
     blocked = {k for k, r in got.items() if r["verdict"] == "block"}
     assert blocked == {1, 2, 3, 5, 6, 9, 13}  # 7 and 8 share an explicit allow; 9 has its own rule
 
@@ -51,6 +52,22 @@ def test_targets_are_unescaped_resolved_and_all_taken(spark):
     assert {k for k, r in verdicts(spark, rows, sent).items() if r["verdict"] == "block"} == {1, 2, 3, 7, 8, 9, 10, 11}
 
 
+def test_nothing_is_inherited_without_a_link(spark):
+    rows = [(1, "http://example.com/de", None), (2, "http://example.com/de/", None), (3, "http://ok.com/?ref=1", None),
+            (4, "http://ok.com/?ref=2", None), (5, "HTTP://OK.com?ref=2#top", None), (6, "https://ok.com/?ref=2", None)]  # 4 and 5 are one URL
+    sent = [("http://ok.com/?ref=2", "http://x.net/")]
+    assert {k for k, r in verdicts(spark, rows, sent).items() if r["verdict"] == "block"} == {2, 4, 5}
+    assert {k for k, r in verdicts(spark, rows[:4], sent, alike=True).items() if r["verdict"] == "block"} == {1, 2, 3, 4}
+
+
+def test_rules_of_redirect_sources_that_are_no_pages(spark):
+    rows = [(1, "http://ok.com/y", None), (2, "http://fine.com/z", None), (3, "http://both.com/", None)]
+    sent = [("http://bad.net/x", "http://ok.com/y"), ("http://bad.net/x", "http://both.com/"), ("http://a.org/fr/1", "http://fine.com/z")]
+    assert {k: r["verdict"] for k, r in verdicts(spark, rows, sent).items()} == {1: "block", 2: "allow", 3: "block"}
+    over = [*sent, ("http://a.org/fr/1", "http://ok.com/y")]  # an explicit allow among the aliases goes first
+    assert {r["verdict"] for r in verdicts(spark, rows, over).values()} == {"allow"}
+
+
 def test_repeated_rows_and_empty_table(spark):
     pages = spark.createDataFrame([(1, "http://a.net/", None)] * 3 + [(None, None, None)], "page_id long, url string, html string")
     assert len(judge(pages).collect()) == 4
