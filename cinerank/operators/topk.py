@@ -34,6 +34,21 @@ def positions(df: DataFrame, keys: list[str], id_col: str, position: str = "pos"
             .drop("_range", "_local", "_offset"))
 
 
+def ranked_by_bins(df: DataFrame, key: str, score: str, id_col: str, rank: str = "rank", bins: int = 4096) -> DataFrame:
+    """Rank by falling ``score``, from -1 to 1, and id within ``key``, without sorting a key's rows in one task.
+
+    Rows are counted per bin of scores; a bin's rank begins after the rows of the bins above, of which a key has ``bins`` at
+    most. Only equal bins are sorted. ``df`` is read twice, so store what is dear to compute.
+    """
+    binned = df.withColumn("_bin", F.floor(F.col(score) * F.lit(bins // 2)).cast("int"))
+    above = W.partitionBy(key).orderBy(F.desc("_bin")).rowsBetween(W.unboundedPreceding, -1)
+    begins = (binned.groupBy(key, "_bin").agg(F.count("*").alias("_rows"))
+              .withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0))).drop("_rows"))
+    local = ranked(binned, [key, "_bin"], [F.desc(score), F.asc(id_col)], "_local")
+    return (local.join(begins, [key, "_bin"])
+            .withColumn(rank, (F.col("_local") + F.col("_above")).cast("int")).drop("_bin", "_local", "_above"))
+
+
 def pack_recs(df: DataFrame, key: str, page_size: int | None = None) -> DataFrame:
     """Flat ``(key, rank, mid, score)`` rows -> one ``recs`` array per key in rank order.
 

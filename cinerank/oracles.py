@@ -119,7 +119,36 @@ SELECT genres, rank, mid, round(score, 6) AS score FROM top WHERE rank <= 10"""
 _DOCUMENT = f"""{_MOVIES}, {_TAGS},
 merged AS (SELECT mid, string_agg(tag, '|' ORDER BY tag) AS tags FROM (SELECT DISTINCT mid, tag FROM tags) GROUP BY mid)"""
 
+_LATENT_RECS = """latent AS MATERIALIZED (SELECT vec_id::INT AS id, embedding::DOUBLE[] AS e FROM embeddings),
+recs AS MATERIALIZED (
+  SELECT mid, row_number() OVER (PARTITION BY mid ORDER BY score DESC, rec_mid)::INT AS rank, rec_mid, score
+  FROM (SELECT a.id AS mid, b.id AS rec_mid, round(list_cosine_similarity(a.e, b.e), 9) AS score
+        FROM latent a JOIN latent b ON a.id <> b.id)
+  WHERE score > 0.3)"""
+
 ORACLES: dict[str, str] = {
+    "ratings_from_files": f"WITH {_RATINGS} SELECT * FROM ratings",
+    "rejected_tag_files": f"""WITH {_TAGS}, lines AS (
+  SELECT (uid % 4)::INT AS part, CASE WHEN tag = 'error' THEN 'u' ELSE '' END || uid || ',' || mid || ',' || tag || ',' || "timestamp" AS value,
+         tag = 'error' AS bad
+  FROM tags), numbered AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY value) AS line FROM lines)
+SELECT part, line, value FROM numbered WHERE bad""",
+    "newest_month_movies": f"""WITH {_RATINGS}, monthly AS (
+  SELECT mid, count(mid) AS count, strftime(make_timestamp("timestamp"::BIGINT * 1000000), '%Y%m')::INT AS yearmonth
+  FROM ratings GROUP BY mid, yearmonth)
+SELECT row_number() OVER (ORDER BY count DESC, mid)::INT AS rank, mid, count, yearmonth
+FROM monthly WHERE yearmonth = (SELECT max(yearmonth) FROM monthly) ORDER BY count DESC, mid LIMIT 100""",
+    "rate_more_movies_sql": f"WITH {_RATINGS} SELECT mid, count(mid) AS count FROM ratings GROUP BY mid",
+    "rate_more_recently_movies_sql": f"""WITH {_RATINGS}
+SELECT mid, count(mid) AS count, strftime(make_timestamp("timestamp"::BIGINT * 1000000), '%Y%m')::INT AS yearmonth
+FROM ratings GROUP BY mid, yearmonth HAVING yearmonth >= 199601""",
+    "genre_top_movies_sql": f"""WITH {_RATINGS}, {_MOVIES}, {_AVERAGES}
+SELECT mid, round(avg, 6) AS score FROM movies JOIN averages USING (mid) WHERE contains(lower(genres), 'science')
+ORDER BY avg DESC, mid LIMIT 25""",
+    "movie_recs_stored": f"WITH {_LATENT_RECS} SELECT mid, rank, rec_mid, score FROM recs",
+    "stream_recs_movie_recs": f"""WITH {_RATINGS}, {_LATENT_RECS}, {_RECENT}, {_CANDIDATES}, {_STREAM.replace("s.score > 0.7", "s.score > 0.3")}
+SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid)::INT AS rank, mid, round(score, 6) AS score
+FROM scored""",
     "parse_movies": f"WITH {_MOVIES} SELECT * FROM movies",
     "parse_ratings": f"WITH {_RATINGS} SELECT * FROM ratings",
     "parse_tags": f"WITH {_TAGS} SELECT * FROM tags",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from cinerank.functions.measures import year_month
 from cinerank.functions.text import contains_ignore_case
 from cinerank.operators.topk import top_k
+from cinerank.sources.tables import write_ordered
 
 # The genres that get a top list, matched as substrings of a movie's genres.
 TOP_GENRES = (
@@ -28,9 +29,30 @@ def rate_more_recently_movies(ratings: DataFrame, time_zone: str = "UTC") -> Dat
             .orderBy(F.desc("yearmonth"), F.desc("count"), "mid"))
 
 
+MONTHLY_ORDER = ("yearmonth", "count", "mid")
+
+
+def write_monthly(monthly: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Store ``rate_more_recently_movies`` in its order."""
+    month, count, mid = MONTHLY_ORDER
+    write_ordered(monthly, path, [F.desc(month), F.desc(count), F.asc(mid)], rows_per_file)
+
+
+def newest_month(spark: SparkSession, path: str, k: int) -> DataFrame:
+    """``(rank, mid, count, yearmonth)``: the ``k`` most rated movies of the newest month of a table of ``write_monthly``. The month
+    is one number; the filter on it passes over the files and row groups of all others."""
+    monthly = spark.read.schema("mid int, count bigint, yearmonth int").parquet(path)
+    newest = monthly.agg(F.max("yearmonth")).first()[0]
+    found = monthly.where(F.col("yearmonth") == F.lit(newest))
+    return top_k(found, ["yearmonth"], [F.desc("count"), F.asc("mid")], k).select("rank", "mid", "count", "yearmonth")
+
+
 def average_movies(ratings: DataFrame) -> DataFrame:
-    """The sum is decimal, so the averages, which order lists, do not depend on the order of the rows."""
-    total = F.sum(F.col("score").cast("decimal(28,9)")).cast("double")
+    """Whole points and billionths are summed as integers, so the averages, which order lists, do not depend on the order of
+    the rows."""
+    whole = F.floor("score")
+    rest = F.floor((F.col("score") - whole) * F.lit(1e9) + F.lit(0.5))
+    total = F.sum(whole) + F.sum(rest) / F.lit(1e9)
     return ratings.groupBy("mid").agg((total / F.count("score")).alias("avg"))
 
 

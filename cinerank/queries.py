@@ -6,6 +6,7 @@ Lists come out flat, one row per recommendation, except where the name says ``pa
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -14,14 +15,15 @@ from cinerank import schemas
 from cinerank.functions.measures import rmse
 from cinerank.operators.similarity import ItemSimilarity
 from cinerank.operators.topk import pack_recs, unpack_recs
-from cinerank.plans import content, documents, latent, realtime, statistics
+from cinerank.plans import content, documents, latent, realtime, statistics, views
 from cinerank.session import stored, work_dir
-from cinerank.sources import delimited, fixtures, tables
+from cinerank.sources import delimited, fixtures, movie_recs, tables, versions
 from cinerank.streaming import recommend, source
 from cinerank.streaming.recent import update_recent
 
 Query = Callable[[SparkSession, str], DataFrame]
-_GRIDS: dict[tuple[str, str], DataFrame] = {}
+_GRIDS: dict[tuple, DataFrame] = {}
+_MIN_LATENT = 0.3
 
 
 def parse_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +46,25 @@ def rejected_tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.rejected(damaged, delimited.TAGS)
 
 
+def ratings_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "rating-files")
+    fixtures.delimited(fixtures.ratings(spark, sf_dir), ",").write.text(path)
+    return delimited.read(spark, path, delimited.RATINGS)
+
+
+def rejected_tag_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged tag lines with their file, one per remainder of the user id, and the line in it."""
+    path = work_dir(spark, "tag-files")
+    tags = fixtures.tags(spark, sf_dir)
+    lines = fixtures.delimited(tags, ",").select(
+        F.when(F.contains("value", F.lit(",error,")), F.concat(F.lit("u"), "value")).otherwise(F.col("value")).alias("value"))
+    part = F.regexp_extract("value", "[0-9]+", 0).cast("long") % 4
+    (lines.withColumn("part", part).repartition("part").sortWithinPartitions("part", "value")
+     .write.partitionBy("part").text(path))
+    rejects = delimited.read_rejected(spark, path, delimited.TAGS, recursiveFileLookup="true")
+    return rejects.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("int").alias("part"), "line", "value")
+
+
 def stored_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "ratings")
     tables.write_table(fixtures.ratings(spark, sf_dir), path)
@@ -68,6 +89,25 @@ def rate_more_recently_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statistics.rate_more_recently_movies(fixtures.ratings(spark, sf_dir))
 
 
+def newest_month_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most rated movies of the newest month, from the stored monthly order."""
+    path = work_dir(spark, "monthly")
+    statistics.write_monthly(statistics.rate_more_recently_movies(fixtures.ratings(spark, sf_dir)), path)
+    return statistics.newest_month(spark, path, 100)
+
+
+def rate_more_movies_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_sql(spark, sf_dir, "rate_more_movies")
+
+
+def rate_more_recently_movies_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_sql(spark, sf_dir, "rate_more_recently_movies", since=199601)
+
+
+def genre_top_movies_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_by_sql(spark, sf_dir, "genre_top_movies", genre="Science", k=25), "score", 6)
+
+
 def average_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(statistics.average_movies(fixtures.ratings(spark, sf_dir)), "avg", 6)
 
@@ -119,7 +159,12 @@ def content_movie_recs_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latent.similar_movies(fixtures.embeddings(spark, sf_dir), 0.3)
+    return latent.similar_movies(fixtures.embeddings(spark, sf_dir), _MIN_LATENT)
+
+
+def movie_recs_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similar movies by their vectors, stored in pages and unfolded again."""
+    return _saved_lists(spark, sf_dir).recs()
 
 
 def log_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,6 +230,12 @@ def stream_recs_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(unpack_recs(recs, "uid"), "score", 6)
 
 
+def stream_recs_movie_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream on stored lists of similar movies."""
+    out = _run_stream(spark, sf_dir, partial(_save_lists, spark, sf_dir), min_relevance=_MIN_LATENT, load=movie_recs.StoredMovieRecs.load)
+    return _rounded(unpack_recs(recommend.current_recs(spark, out), "uid"), "score", 6)
+
+
 def user_rec_list_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user gets a list, be it empty."""
     ratings = fixtures.ratings(spark, sf_dir)
@@ -293,12 +344,13 @@ def rmse_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    parse_movies, parse_ratings, parse_tags, rejected_tag_lines, stored_ratings, movie_tags_document,
-    stored_search_documents, rate_more_movies, rate_more_recently_movies, average_movies, movie_average_join,
+    parse_movies, parse_ratings, parse_tags, rejected_tag_lines, ratings_from_files, rejected_tag_files, stored_ratings,
+    movie_tags_document, stored_search_documents, rate_more_movies, rate_more_recently_movies, newest_month_movies,
+    rate_more_movies_sql, rate_more_recently_movies_sql, genre_top_movies_sql, average_movies, movie_average_join,
     genres_top_movies, genres_top_movies_packed, distinct_users, distinct_rated_movies, genre_document_frequencies,
-    genre_tfidf, genre_tfidf_exact, content_movie_recs, content_movie_recs_exact, embedding_similarity, log_filter,
-    rating_event_parse, log_copy_streaming, rejected_events, user_recent_ratings, unrated_candidates, recent_similarity,
-    stream_recs_replay, user_rec_list_sizes, stream_recs_streaming, stream_recent_ratings, als_user_recs,
+    genre_tfidf, genre_tfidf_exact, content_movie_recs, content_movie_recs_exact, embedding_similarity, movie_recs_stored,
+    log_filter, rating_event_parse, log_copy_streaming, rejected_events, user_recent_ratings, unrated_candidates, recent_similarity,
+    stream_recs_replay, user_rec_list_sizes, stream_recs_streaming, stream_recs_movie_recs, stream_recent_ratings, als_user_recs,
     als_user_recs_unseen, als_movie_recs, train_test_split, als_grid_search, als_best_parameters, rmse_exact,
 )}
 
@@ -307,6 +359,21 @@ def _rounded(df: DataFrame, column: str, digits: int) -> DataFrame:
     return df.withColumn(column, F.round(column, digits))
 
 
+def _by_sql(spark: SparkSession, sf_dir: str, name: str, **parameters) -> DataFrame:
+    views.register(ratings=fixtures.ratings(spark, sf_dir), movies=fixtures.movies(spark, sf_dir))
+    return views.statistic(spark, name, **parameters)
+
+
+def _saved_lists(spark: SparkSession, sf_dir: str) -> movie_recs.StoredMovieRecs:
+    path = work_dir(spark, "movie-recs")
+    _save_lists(spark, sf_dir, path)
+    return movie_recs.StoredMovieRecs.load(spark, path)
+
+
+def _save_lists(spark: SparkSession, sf_dir: str, path: str) -> None:
+    movie_recs.save(latent.ranked_lists(embedding_similarity(spark, sf_dir)), path, page_size=4, pages_per_bucket=100)
+
+
 def _content(spark: SparkSession, sf_dir: str, **vocabulary) -> ItemSimilarity:
     return content.content_similarity(fixtures.movies(spark, sf_dir), **vocabulary)
 
@@ -319,8 +386,9 @@ def _model(spark: SparkSession, sf_dir: str) -> ALSModel:
 
 
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The search runs once per application and tables; its queries read the stored result."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The search runs once per application and state of the tables; its queries read the stored result."""
+    tables = tuple(versions.fingerprint(spark, f"{sf_dir}/{name}.parquet") for name in ("lineitem", "orders"))
+    key = (spark.sparkContext.applicationId, sf_dir, tables)
     if key not in _GRIDS:
         _GRIDS[key] = stored(latent.grid_search(fixtures.ratings(spark, sf_dir)), "grid")
     return _GRIDS[key]
@@ -333,15 +401,18 @@ def _saved_content(spark: SparkSession, sf_dir: str) -> ItemSimilarity:
     return ItemSimilarity.load(spark, path)
 
 
-def _run_stream(spark: SparkSession, sf_dir: str) -> str:
-    """The whole stream over all ratings; returns its output folder."""
+def _run_stream(spark: SparkSession, sf_dir: str, save: Callable[[str], None] | None = None, **options) -> str:
+    """The whole stream over all ratings, on what ``save`` stores, by default the content similarity; returns its output folder."""
     root = work_dir(spark, "stream")
     recommend.write_rated(realtime.rated_movies(fixtures.ratings(spark, sf_dir)), f"{root}/rated", rows_per_bucket=10_000)
-    _content(spark, sf_dir).save(f"{root}/similarity", rows_per_bucket=10_000)
+    if save is None:
+        _content(spark, sf_dir).save(f"{root}/similarity", rows_per_bucket=10_000)
+    else:
+        save(f"{root}/similarity")
 
     def run(events: DataFrame) -> None:
         recommend.start(events, f"{root}/similarity", f"{root}/rated", f"{root}/out", f"{root}/checkpoint",
-                        {"availableNow": True}, user_buckets=8).awaitTermination()
+                        {"availableNow": True}, user_buckets=8, **options).awaitTermination()
 
     _arrivals(spark, sf_dir, root, run)
     return f"{root}/out"

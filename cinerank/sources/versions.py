@@ -24,6 +24,12 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in fs.globStatus(make(pattern)) or [])
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a table, to tell whether it has been replaced."""
+    fs, make = files(spark, path)
+    return tuple(sorted((str(s.getPath().toString()), s.getLen(), s.getModificationTime()) for s in fs.listStatus(make(path))))
+
+
 def begin(spark: SparkSession, path: str, note: str = "0") -> str:
     """The folder to write the next version to."""
     taken = [int(p.rsplit("/", 1)[1].split("-")[1]) for p in listed(spark, f"{path}/v-*")]
