@@ -1,15 +1,19 @@
 """Toxicity by character n-grams scaled with naive Bayes log-count ratios, and a linear classifier on top.
 
 A document's features are the hashed character n-grams it contains. Labels are learnt from a bounded sample: at most
-``PER_CLASS`` ids of each label, those with the smallest hash. Spark turns the sample's texts into features; the
-log-count ratios and a logistic regression on the scaled features are then found by numpy on the driver. Both classes
-weigh the same, whatever their shares. Scoring needs the ratios times the weights, one number per bucket.
+``PER_CLASS`` ids of each label, those with the smallest hash. Spark turns the sample's texts into features; a task then
+keeps them in a file of its own and finds the log-count ratios and a logistic regression on the scaled features by
+numpy, a row at a time. Only the model reaches the driver. Both classes weigh the same, whatever their shares. Scoring
+needs the ratios times the weights, one number per bucket.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from tempfile import TemporaryFile
+from typing import IO
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +49,30 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(np.array(sums, np.float64) + self.intercept, -30, 30)))
 
 
-def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
+class Filed(Sequence):
+    """Rows of buckets in a file, each read when it is asked for."""
+
+    def __init__(self, file: IO[bytes]):
+        self.file, self.ends, self.order = file, [0], None
+
+    def append(self, own: pa.Buffer) -> None:
+        self.file.write(own)
+        self.ends.append(self.ends[-1] + own.size)
+
+    def arrange(self, order: np.ndarray) -> None:
+        """From now on the rows come in ``order``; no more can follow."""
+        self.file.flush()
+        self.order = order.tolist()
+
+    def __len__(self) -> int:
+        return len(self.order)
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        begin, end = self.ends[self.order[k]:self.order[k] + 2]
+        return np.frombuffer(os.pread(self.file.fileno(), end - begin, begin), np.uint32)
+
+
+def log_count_ratios(rows: Sequence[np.ndarray], labels: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
     """The logarithm of the classes' shares of every bucket, toxic over clean."""
     counts = np.full((2, 1 << BITS), smoothing)
     for own, label in zip(rows, labels):
@@ -54,7 +81,7 @@ def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray, smoothing: floa
     return np.log(counts[1] / counts[0]).astype(np.float32)
 
 
-def fit_linear(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, epochs: int = EPOCHS, rate: float = 0.2,
+def fit_linear(rows: Sequence[np.ndarray], labels: np.ndarray, ratios: np.ndarray, epochs: int = EPOCHS, rate: float = 0.2,
                decay: float = 1e-4) -> ToxicityModel:
     """Logistic regression on the present features scaled by ``ratios``, by AdaGrad over shuffled rows."""
     weights, squares = np.full((2, len(ratios)), 0.02, np.float32)
@@ -85,15 +112,32 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
             own = pa.array([f.tobytes() for f in features(batch.column("text"))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), own], ["doc_id", "label", "own"])
 
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with TemporaryFile() as file:
+            rows, keys = Filed(file), []
+            for batch in batches:
+                keys.append(batch.select(["doc_id", "tie", "label"]))
+                for own in batch.column("own"):
+                    rows.append(own.as_buffer())
+            if not keys:
+                return
+            found = pa.Table.from_batches(keys)
+            order = pc.sort_indices(found, [("doc_id", "ascending"), ("tie", "ascending")]).to_numpy()
+            classes = found["label"].to_numpy()[order]
+            if len(np.unique(classes)) < 2:
+                return
+            rows.arrange(order)
+            model = fit_linear(rows, classes, log_count_ratios(rows, classes))
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()]), pa.array([model.intercept])], ["weights", "intercept"])
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 2 * per_class ids
-             .select("doc_id", "label", "text").mapInArrow(run, f"doc_id {kind}, label int, own binary").toArrow())
-    order = pc.sort_indices(found["doc_id"]).to_numpy()
-    rows = [np.frombuffer(found["own"][k].as_buffer(), np.uint32) for k in order.tolist()]
-    classes = found["label"].to_numpy()[order]
-    if len(np.unique(classes)) < 2:
+    learnt = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 2 * per_class ids
+              .select("doc_id", "label", "text").mapInArrow(run, f"doc_id {kind}, label int, own binary")
+              .withColumn("tie", F.xxhash64("own")).repartition(1)  # the rows are learnt from one after the other
+              .mapInArrow(train, "weights binary, intercept double").first())
+    if learnt is None:
         return ToxicityModel(np.zeros(1 << BITS, np.float32), 0.0)
-    return fit_linear(rows, classes, log_count_ratios(rows, classes))
+    return ToxicityModel(np.frombuffer(learnt["weights"], np.float32), learnt["intercept"])
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

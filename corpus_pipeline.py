@@ -40,11 +40,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, widt
     ``STAGES`` takes shingles of ``NEAR_WIDTH`` words."""
     decided = stored(near_duplicates(docs, width=width), "decisions")
     ids = decided.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
-    dropped = stored(ids.where("not kept").select("doc_id"), "dropped")
+    marked = stored(ids.where("not kept or rows > 1"), "marked")  # the others stay as they are
+    dropped = marked.where("not kept").select("doc_id")
     if dropped.count() <= BROADCAST_IDS:  # beyond that the documents meet the ids in a shuffle
         dropped = F.broadcast(dropped)
     left = docs.join(dropped, "doc_id", "left_anti")
-    again = stored(ids.where("kept and rows > 1 and doc_id is not null").select("doc_id"), "repeated")
+    again = marked.where("kept and rows > 1 and doc_id is not null").select("doc_id")
     if again.isEmpty():
         return left
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*(c for c in docs.columns if c != "doc_id"))

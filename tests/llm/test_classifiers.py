@@ -52,6 +52,16 @@ def test_awkward_rows(spark, module):
     assert {r["score"] for r in module.score(odd, module.fit(docs, labels.limit(0), F.lit(True))).collect()} == {0.5}
 
 
+def test_sample_is_learnt_from_off_the_driver(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    texts = docs.orderBy("doc_id").toArrow()["text"].combine_chunks()
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: pytest.fail("the features reached the driver"))
+    model = toxicity.fit(docs.repartition(3), labels, F.col("doc_id") < 240)
+    rows, classes = toxicity.features(texts), np.array([int(k % 4 == 0) for k in range(240)])
+    plain = toxicity.fit_linear(rows, classes, toxicity.log_count_ratios(rows, classes))
+    assert np.array_equal(model.weights, plain.weights) and model.intercept == plain.intercept
+
+
 def test_toxic_rows_go_and_columns_stay(spark):
     docs, labels = labelled(spark)
     model = toxicity.fit(docs, labels, F.lit(True))

@@ -61,6 +61,26 @@ def test_components(spark):
     assert {r[1] for r in connected_components(path).collect()} == {"n0000"}
 
 
+def test_components_take_few_tasks(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(40) if k != 20], "u long, v long")
+    changed = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    context, group = spark.sparkContext, f"components-{id(links)}"
+    context.setJobGroup(group, "components")
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        got = {r[0]: r[1] for r in connected_components(links).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {k: 0 if k < 21 else 21 for k in range(41)}
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < sum(s.numCompletedTasks for s in stages if s) < 1450  # 1192; with more exchanges in a step 1738
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
