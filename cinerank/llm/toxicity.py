@@ -116,7 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
         with TemporaryFile() as file:
             rows, keys = Filed(file), []
             for batch in batches:
-                keys.append(batch.select(["doc_id", "tie", "label"]))
+                own_keys = batch.select(["doc_id", "tie", "label"])
+                keys.append(own_keys.take(pa.array(np.arange(batch.num_rows))))  # a copy: a view keeps the features
                 for own in batch.column("own"):
                     rows.append(own.as_buffer())
             if not keys:
